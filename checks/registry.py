@@ -60,7 +60,7 @@ class Layers:
         return silver.silver_sellers(self.raw("sellers"))
 
     def dim_customers(self) -> DataFrame:
-        return gold.dim_customers(self.customers(), self.geolocation())
+        return gold.dim_customers(self.customers(), self.geolocation(), hot_from=self.raw("customers"))
 
     def dim_sellers(self) -> DataFrame:
         return gold.dim_sellers(self.sellers(), self.geolocation())
@@ -75,10 +75,23 @@ class Layers:
         return date_dimension(self.spark, first, DAYS, last)
 
     def fact(self) -> DataFrame:
-        return gold.fact_orders(self.orders(), self.items(), self.payments(), self.reviews())
-
-    def semantic(self) -> DataFrame:
-        return semantic.semantic_orders(self.fact(), self.dim_customers(), self.dim_products(), self.dim_sellers())
+        return gold.fact_orders(
+            self.orders(), self.items(), self.payments(), self.reviews(), hot_from=self.raw("items")
+        )
+
+    def view(self, name: str) -> DataFrame:
+        build = {
+            "dim_customers": self.dim_customers,
+            "dim_products": self.dim_products,
+            "dim_sellers": self.dim_sellers,
+        }
+        dimensions = {d.table: build[d.table]() for d in semantic.dimensions_of(name)}
+        customers = inputs.table(self.spark, self.sf_dir, "orders").select(
+            F.col("o_custkey").cast("string").alias("customer_id")
+        )
+        items = self.raw("items")
+        hot_from = {"customer_id": customers, "product_id": items, "seller_id": items}
+        return semantic.star_join(name, self.fact(), dimensions, hot_from)
 
     def newest_event(self):
         return inputs.table(self.spark, self.sf_dir, "events").agg(F.max("ts")).scalar()
@@ -112,10 +125,10 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "payments_per_order": lambda t: gold.payments_per_order(t.payments()),
     "reviews_per_order": lambda t: gold.reviews_per_order(t.reviews()),
     "fact_orders": Layers.fact,
-    "semantic_orders": Layers.semantic,
-    "mart_finance": lambda t: semantic.mart_finance(t.semantic()),
-    "mart_marketing": lambda t: semantic.mart_marketing(t.semantic()),
-    "mart_ops": lambda t: semantic.mart_ops(t.semantic()),
+    "semantic_orders": lambda t: t.view("semantic_orders"),
+    "mart_finance": lambda t: t.view("semantic_finance_orders"),
+    "mart_marketing": lambda t: t.view("semantic_marketing_orders"),
+    "mart_ops": lambda t: t.view("semantic_ops_orders"),
     "recent_logs": Layers.recent_logs,
     "run_history": Layers.run_history,
     "failed_runs": Layers.failed_runs,

@@ -15,9 +15,9 @@ def parse_ts(c: Column | str, fmt: str = LANDING_FORMAT) -> Column:
 
 
 def parse_ts_or_iso(c: Column | str, fmt: str = LANDING_FORMAT) -> Column:
-    """Like ``parse_ts``, but ISO text is read as well."""
+    """Like ``parse_ts``, but text without a slash is read as ISO."""
     column = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(parse_ts(column, fmt), column.try_cast("timestamp_ntz"))
+    return F.when(F.contains(column, F.lit("/")), parse_ts(column, fmt)).otherwise(column.try_cast("timestamp_ntz"))
 
 
 def day_diff(start: Column | str, end: Column | str) -> Column:

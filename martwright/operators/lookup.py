@@ -38,15 +38,16 @@ def lookup_join(
     right_key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    hot: DataFrame | None = None,
+    hot_from: DataFrame | None = None,
     broadcast_rows: int = 0,
 ) -> DataFrame:
     """``left`` with the columns of ``right``, which has at most one row per ``right_key``.
 
     ``right_key`` is dropped. Rows of a hot key (and NULL keys, which match nothing) are
     split by a hash of ``spread_by`` over ``SALTS`` parts, and the one row of that key on
-    the right is copied to each part; every other key joins as usual. ``hot`` may name the
-    hot keys found elsewhere, such as in a stored table.
+    the right is copied to each part; every other key joins as usual. Hot keys are looked
+    for in the column ``left_key`` of ``hot_from``: give a landing or a stored table that has
+    about the same distribution when computing ``left`` a second time would be expensive.
 
     With ``broadcast_rows`` the right side is counted first, and broadcast if it has no more
     rows than that. Use it where the right side is a stored table, so that the count is cheap.
@@ -56,7 +57,7 @@ def lookup_join(
         joined = left.alias("l").join(F.broadcast(right.alias("r")), condition, how)
         return joined.select("l.*", *[f"r.{name}" for name in right.columns if name != right_key])
 
-    keys = (hot if hot is not None else hot_keys(left, left_key)).scalar()
+    keys = hot_keys(left if hot_from is None else hot_from, left_key).scalar()
 
     def is_hot(key: str) -> Column:
         return F.array_contains(keys, F.col(key))

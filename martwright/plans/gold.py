@@ -1,4 +1,7 @@
-"""Gold tables: dimensions and the fact table at order-item grain."""
+"""Gold tables: dimensions and the fact table at order-item grain.
+
+``hot_from`` and ``broadcast_rows`` are those of ``lookup_join``.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +21,9 @@ def _positions(geolocation: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def dim_customers(customers: DataFrame, geolocation: DataFrame, broadcast_rows: int = 0) -> DataFrame:
+def dim_customers(
+    customers: DataFrame, geolocation: DataFrame, hot_from: DataFrame | None = None, broadcast_rows: int = 0
+) -> DataFrame:
     """One row per person, with the position of the zip code and the macro-region.
 
     ``customer_id`` is the person; ``customer_order_id`` is one (the smallest) of the
@@ -38,11 +43,14 @@ def dim_customers(customers: DataFrame, geolocation: DataFrame, broadcast_rows:
         "customer_zip_code_prefix",
         "_zip",
         spread_by=["customer_id"],
+        hot_from=customers if hot_from is None else hot_from,
         broadcast_rows=broadcast_rows,
     )
 
 
-def dim_sellers(sellers: DataFrame, geolocation: DataFrame, broadcast_rows: int = 0) -> DataFrame:
+def dim_sellers(
+    sellers: DataFrame, geolocation: DataFrame, hot_from: DataFrame | None = None, broadcast_rows: int = 0
+) -> DataFrame:
     """Sellers with the position of their zip code and the macro-region."""
     placed = lookup_join(
         sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
@@ -50,6 +58,7 @@ def dim_sellers(sellers: DataFrame, geolocation: DataFrame, broadcast_rows: int
         "seller_zip_code_prefix",
         "_zip",
         spread_by=["seller_id"],
+        hot_from=hot_from,
         broadcast_rows=broadcast_rows,
     )
     return placed.withColumn("seller_region", codes.region_of(F.col("seller_state")))
@@ -167,7 +176,13 @@ def order_facts(orders: DataFrame, payments: DataFrame, reviews: DataFrame) -> D
     )
 
 
-def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+def fact_orders(
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
     """Order items of surviving orders with all facts of their order.
 
     Order-level facts repeat on every item of the order, so they must not be summed over items.
@@ -183,4 +198,6 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, review
         "shipping_limit_date",
     )
     by_order = order_facts(orders, payments, reviews).withColumnRenamed("order_id", "_order_id")
-    return lookup_join(priced, by_order, "order_id", "_order_id", spread_by=["order_item_id"], how="inner")
+    return lookup_join(
+        priced, by_order, "order_id", "_order_id", spread_by=["order_item_id"], how="inner", hot_from=hot_from
+    )

@@ -1,74 +1,119 @@
-"""Semantic star join and the marts that show parts of it."""
+"""Semantic star join over the fact table, and the marts that show parts of it.
+
+Every dimension has one row per join key, so a join to it neither drops nor repeats fact
+rows. A mart therefore joins only the dimensions whose columns it shows, and equals the
+projection of the full star join.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from martwright.operators.lookup import lookup_join
 
-# Columns of the star join and of each mart.
-SEMANTIC_COLUMNS = (
-    "order_id",
-    "order_item_id",
-    "purchase_date",
-    "customer_region",
-    "customer_state",
-    "product_category_name",
-    "seller_region",
-    "seller_state",
-    "order_status",
-    "review_sentiment",
-    "primary_payment_type",
-    "item_total_revenue",
-    "is_on_time",
-    "is_late",
-    "delivery_delta_days",
-)
-FINANCE_COLUMNS = ("purchase_date", "order_id", "primary_payment_type", "item_total_revenue")
-MARKETING_COLUMNS = (
-    "purchase_date",
-    "customer_region",
-    "customer_state",
-    "product_category_name",
-    "item_total_revenue",
-    "review_sentiment",
+
+@dataclass(frozen=True)
+class Dimension:
+    """How the fact table refers to a dimension, and the columns shown of it."""
+
+    table: str
+    fact_key: str
+    key: str
+    columns: tuple[str, ...]
+
+
+DIMENSIONS = (
+    Dimension("dim_customers", "customer_id", "customer_order_id", ("customer_region", "customer_state")),
+    Dimension("dim_products", "product_id", "product_id", ("product_category_name",)),
+    Dimension("dim_sellers", "seller_id", "seller_id", ("seller_region", "seller_state")),
 )
-OPS_COLUMNS = ("purchase_date", "seller_region", "seller_state", "is_on_time", "is_late", "delivery_delta_days")
 
+# View -> its columns. All but the first are marts for one group of users.
+VIEWS = {
+    "semantic_orders": (
+        "order_id",
+        "order_item_id",
+        "purchase_date",
+        "customer_region",
+        "customer_state",
+        "product_category_name",
+        "seller_region",
+        "seller_state",
+        "order_status",
+        "review_sentiment",
+        "primary_payment_type",
+        "item_total_revenue",
+        "is_on_time",
+        "is_late",
+        "delivery_delta_days",
+    ),
+    "semantic_finance_orders": ("purchase_date", "order_id", "primary_payment_type", "item_total_revenue"),
+    "semantic_marketing_orders": (
+        "purchase_date",
+        "customer_region",
+        "customer_state",
+        "product_category_name",
+        "item_total_revenue",
+        "review_sentiment",
+    ),
+    "semantic_ops_orders": (
+        "purchase_date",
+        "seller_region",
+        "seller_state",
+        "is_on_time",
+        "is_late",
+        "delivery_delta_days",
+    ),
+}
 
-def semantic_orders(
+
+def dimensions_of(view: str) -> list[Dimension]:
+    """The dimensions a view needs."""
+    return [d for d in DIMENSIONS if set(d.columns) & set(VIEWS[view])]
+
+
+def star_join(
+    view: str,
     fact: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    sellers: DataFrame,
+    dimensions: Mapping[str, DataFrame],
+    hot_from: Mapping[str, DataFrame] | None = None,
     broadcast_rows: int = 0,
 ) -> DataFrame:
-    """Fact rows with the attributes of their customer, product and seller; no fact row is lost.
+    """The columns of ``view``, one row per fact row.
 
+    ``dimensions`` holds the needed dimension tables by name; ``hot_from`` may hold, per key
+    column of the fact table, a frame to look for hot keys in (the fact table otherwise).
     Items of an order whose customer id is not the one kept in the customer dimension, or
     whose seller was dropped, have NULL there.
     """
-    item = ["order_id", "order_item_id"]
-    people = customers.select("customer_order_id", "customer_region", "customer_state")
-    goods = products.select("product_id", "product_category_name").withColumnRenamed("product_id", "_product_id")
-    shops = sellers.select("seller_id", "seller_region", "seller_state").withColumnRenamed("seller_id", "_seller_id")
     joined = fact
-    for dimension, key, dimension_key in (
-        (people, "customer_id", "customer_order_id"),
-        (goods, "product_id", "_product_id"),
-        (shops, "seller_id", "_seller_id"),
-    ):
-        joined = lookup_join(joined, dimension, key, dimension_key, item, broadcast_rows=broadcast_rows)
-    return joined.select(*SEMANTIC_COLUMNS)
-
+    for d in dimensions_of(view):
+        shown = dimensions[d.table].select(dimensions[d.table][d.key].alias("_dimension_key"), *d.columns)
+        joined = lookup_join(
+            joined,
+            shown,
+            d.fact_key,
+            "_dimension_key",
+            spread_by=["order_id", "order_item_id"],
+            hot_from=(hot_from or {}).get(d.fact_key, fact),
+            broadcast_rows=broadcast_rows,
+        )
+    return joined.select(*VIEWS[view])
 
-def mart_finance(semantic: DataFrame) -> DataFrame:
-    return semantic.select(*FINANCE_COLUMNS)
 
+def view_sql(view: str, fact: str, dimensions: Mapping[str, str]) -> str:
+    """SELECT text of ``view`` over stored tables, for a catalog view.
 
-def mart_marketing(semantic: DataFrame) -> DataFrame:
-    return semantic.select(*MARKETING_COLUMNS)
-
-
-def mart_ops(semantic: DataFrame) -> DataFrame:
-    return semantic.select(*OPS_COLUMNS)
+    The tables are read directly by the joins, so adaptive execution sees their real sizes:
+    it broadcasts small dimensions and splits the partitions of hot keys.
+    """
+    needed = dimensions_of(view)
+    source = {column: d.table for d in needed for column in d.columns}
+    columns = ",\n    ".join(f"{source.get(c, 'fact')}.{c}" for c in VIEWS[view])
+    joins = "".join(
+        f"\nLEFT JOIN {dimensions[d.table]} AS {d.table} ON fact.{d.fact_key} = {d.table}.{d.key}" for d in needed
+    )
+    return f"SELECT\n    {columns},\n    current_timestamp() AS loaded_at\nFROM {fact} AS fact{joins}"

@@ -242,7 +242,12 @@ def silver_products(raw: DataFrame, raw_translation: DataFrame) -> DataFrame:
         require_not_null(raw, "product_id").select("product_id", *details), ["product_id"], ascending(*details)
     ).withColumn("_category_key", text.lower_trimmed("product_category_name"))
     named = lookup_join(
-        one_each, unique_translation(raw_translation), "_category_key", "category_key", spread_by=["product_id"]
+        one_each,
+        unique_translation(raw_translation),
+        "_category_key",
+        "category_key",
+        spread_by=["product_id"],
+        hot_from=raw.select(text.lower_trimmed("product_category_name").alias("_category_key")),
     )
 
     measured = named.select(
