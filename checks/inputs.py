@@ -7,6 +7,8 @@ DuckDB.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 # 27 state codes by nation number, the last two unused.
@@ -14,11 +16,10 @@ STATES = "SP RJ MG ES PR SC RS BA PE CE MA PB RN PI AL SE AM PA RO RR AC AP TO M
 STATE_LIST = ", ".join(f"'{s}'" for s in STATES)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+Read = Callable[[str], DataFrame]
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         WITH shipped AS (
@@ -46,12 +47,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                    AS order_estimated_delivery_date
         FROM timed
         """,
-        lineitem=table(spark, sf_dir, "lineitem"),
-        orders=table(spark, sf_dir, "orders"),
+        lineitem=table("lineitem"),
+        orders=table("orders"),
     )
 
 
-def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_items(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT CAST(l_orderkey AS STRING) AS order_id,
@@ -67,11 +68,11 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS STRING) AS freight_value
         FROM {lineitem}
         """,
-        lineitem=table(spark, sf_dir, "lineitem"),
+        lineitem=table("lineitem"),
     )
 
 
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_payments(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT CAST(user_id AS STRING) AS order_id,
@@ -88,11 +89,11 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ELSE CAST(CAST(value AS DECIMAL(12,2)) AS STRING) END AS payment_value
         FROM {events}
         """,
-        events=table(spark, sf_dir, "events"),
+        events=table("events"),
     )
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_reviews(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT CAST(conv_id AS STRING) AS review_id,
@@ -107,11 +108,11 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                    AS review_answer_timestamp
         FROM {conversations}
         """,
-        conversations=table(spark, sf_dir, "conversations"),
+        conversations=table("conversations"),
     )
 
 
-def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_geolocation(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT CAST(doc_id % 60 AS STRING) AS geolocation_zip_code_prefix,
@@ -122,11 +123,11 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
                concat(lang, ' ') AS geolocation_state
         FROM {documents}
         """,
-        documents=table(spark, sf_dir, "documents"),
+        documents=table("documents"),
     )
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_customers(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         f"""
         SELECT CAST(c_custkey AS STRING) AS customer_id,
@@ -137,11 +138,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {{customer}}
         LATERAL VIEW explode(IF(c_custkey % 40 = 0, array(0, 1), array(0))) c AS copy
         """,
-        customer=table(spark, sf_dir, "customer"),
+        customer=table("customer"),
     )
 
 
-def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_sellers(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         f"""
         SELECT concat(' ', s_suppkey) AS seller_id,
@@ -150,11 +151,11 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
                IF(s_suppkey % 13 = 0, 'XX', array({STATE_LIST})[s_nationkey]) AS seller_state
         FROM {{supplier}}
         """,
-        supplier=table(spark, sf_dir, "supplier"),
+        supplier=table("supplier"),
     )
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_products(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT CAST(p_partkey AS STRING) AS product_id,
@@ -172,11 +173,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {part}
         LATERAL VIEW explode(IF(p_partkey % 60 = 0, array(1, 0), array(0))) c AS copy
         """,
-        part=table(spark, sf_dir, "part"),
+        part=table("part"),
     )
 
 
-def raw_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_translation(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT concat(' ', name) AS product_category_name, concat('en ', name) AS product_category_name_english
@@ -184,11 +185,11 @@ def raw_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
         LATERAL VIEW explode(array(0, 1)) c AS copy
         WHERE name <> 'economy'
         """,
-        part=table(spark, sf_dir, "part"),
+        part=table("part"),
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_log(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT ts AS timestamp,
@@ -196,11 +197,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                concat(event_type, ' ', event_id) AS value
         FROM {events}
         """,
-        events=table(spark, sf_dir, "events"),
+        events=table("events"),
     )
 
 
-def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_log(spark: SparkSession, table: Read) -> DataFrame:
     return spark.sql(
         """
         SELECT event_type AS name,
@@ -210,5 +211,5 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                IF(event_type = 'error', concat('failed: ', event_id), NULL) AS error_message
         FROM {events}
         """,
-        events=table(spark, sf_dir, "events"),
+        events=table("events"),
     )

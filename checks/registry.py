@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +31,15 @@ class Layers:
     """The layered tables over one directory, each a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def raw(self, name: str) -> DataFrame:
-        return getattr(inputs, f"raw_{name}")(self.spark, self.sf_dir)
+        self.spark = spark
+        # one DataFrame per file and landing: reading the schema of a file is a job of its own
+        self.table = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        self.raw = cache(lambda name: getattr(inputs, f"raw_{name}")(spark, self.table))
+        self.geolocation = cache(lambda: silver.silver_geolocation(self.raw("geolocation")))
 
     def customers(self) -> DataFrame:
         return silver.silver_customers(self.raw("customers"))
 
-    def geolocation(self) -> DataFrame:
-        return silver.silver_geolocation(self.raw("geolocation"))
-
     def items(self) -> DataFrame:
         return silver.silver_order_items(self.raw("items"))
 
@@ -70,7 +69,7 @@ class Layers:
 
     def dim_dates(self) -> DataFrame:
         """The calendar from the first to the last order date."""
-        days = inputs.table(self.spark, self.sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
+        days = self.table("orders").select(F.to_date("o_orderdate").alias("day"))
         first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
         return date_dimension(self.spark, first, DAYS, last)
 
@@ -86,30 +85,28 @@ class Layers:
             "dim_sellers": self.dim_sellers,
         }
         dimensions = {d.table: build[d.table]() for d in semantic.dimensions_of(name)}
-        customers = inputs.table(self.spark, self.sf_dir, "orders").select(
-            F.col("o_custkey").cast("string").alias("customer_id")
-        )
+        customers = self.table("orders").select(F.col("o_custkey").cast("string").alias("customer_id"))
         items = self.raw("items")
         hot_from = {"customer_id": customers, "product_id": items, "seller_id": items}
         return semantic.star_join(name, self.fact(), dimensions, hot_from)
 
     def newest_event(self):
-        return inputs.table(self.spark, self.sf_dir, "events").agg(F.max("ts")).scalar()
+        return self.table("events").agg(F.max("ts")).scalar()
 
     def recent_logs(self) -> DataFrame:
-        return monitoring.recent_logs(inputs.event_log(self.spark, self.sf_dir), self.newest_event())
+        return monitoring.recent_logs(inputs.event_log(self.spark, self.table), self.newest_event())
 
     def run_history(self) -> DataFrame:
-        return monitoring.run_history(inputs.run_log(self.spark, self.sf_dir), self.newest_event())
+        return monitoring.run_history(inputs.run_log(self.spark, self.table), self.newest_event())
 
     def failed_runs(self) -> DataFrame:
-        return monitoring.failed_runs(inputs.run_log(self.spark, self.sf_dir))
+        return monitoring.failed_runs(inputs.run_log(self.spark, self.table))
 
 
 # Each entry builds its query from the layers; `queries` makes the result comparable.
 BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_customers": Layers.customers,
-    "silver_geolocation": Layers.geolocation,
+    "silver_geolocation": lambda t: t.geolocation(),
     "silver_order_items": Layers.items,
     "silver_payments": Layers.payments,
     "silver_reviews": Layers.reviews,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key above this share of the rows is hot. At most 1 / HOT_SHARE keys can be, which
@@ -43,7 +43,7 @@ def lookup_join(
 ) -> DataFrame:
     """``left`` with the columns of ``right``, which has at most one row per ``right_key``.
 
-    ``right_key`` is dropped. Rows of a hot key (and NULL keys, which match nothing) are
+    ``right_key`` is dropped and ``left_key`` comes first; no other names may be shared. Rows of a hot key (and NULL keys, which match nothing) are
     split by a hash of ``spread_by`` over ``SALTS`` parts, and the one row of that key on
     the right is copied to each part; every other key joins as usual. Hot keys are looked
     for in the column ``left_key`` of ``hot_from``: give a landing or a stored table that has
@@ -52,24 +52,15 @@ def lookup_join(
     With ``broadcast_rows`` the right side is counted first, and broadcast if it has no more
     rows than that. Use it where the right side is a stored table, so that the count is cheap.
     """
+    unique_side = right.withColumnRenamed(right_key, left_key)
     if broadcast_rows and right.count() <= broadcast_rows:
-        condition = F.col(f"l.{left_key}") == F.col(f"r.{right_key}")
-        joined = left.alias("l").join(F.broadcast(right.alias("r")), condition, how)
-        return joined.select("l.*", *[f"r.{name}" for name in right.columns if name != right_key])
+        return left.join(F.broadcast(unique_side), left_key, how)
 
     keys = hot_keys(left if hot_from is None else hot_from, left_key).scalar()
-
-    def is_hot(key: str) -> Column:
-        return F.array_contains(keys, F.col(key))
-
+    is_hot = F.array_contains(keys, F.col(left_key))
     part = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    salted = left.withColumn(
-        "_salt", F.when(F.col(left_key).isNull() | is_hot(left_key), part).otherwise(F.lit(0))
-    )
+    salted = left.withColumn("_salt", F.when(F.col(left_key).isNull() | is_hot, part).otherwise(F.lit(0)))
     all_parts, one_part = F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0))
-    copies = right.withColumn("_salt", F.explode(F.when(is_hot(right_key), all_parts).otherwise(one_part)))
-    condition = (F.col(f"l.{left_key}") == F.col(f"r.{right_key}")) & (F.col("l._salt") == F.col("r._salt"))
-    joined = salted.alias("l").join(copies.alias("r"), condition, how)
-    return joined.select(
-        *[f"l.{name}" for name in left.columns], *[f"r.{name}" for name in right.columns if name != right_key]
-    )
+    # the arrays are never empty, so outer is the same, and spares a filter on every row
+    copies = unique_side.withColumn("_salt", F.explode_outer(F.when(is_hot, all_parts).otherwise(one_part)))
+    return salted.join(copies, [left_key, "_salt"], how).drop("_salt")

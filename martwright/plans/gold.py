@@ -35,9 +35,8 @@ def dim_customers(
         "customer_zip_code_prefix",
         "customer_city",
         "customer_state",
-        codes.region_of(F.col("customer_state")).alias("customer_region"),
     )
-    return lookup_join(
+    placed = lookup_join(
         people,
         _positions(geolocation, "customer"),
         "customer_zip_code_prefix",
@@ -46,6 +45,16 @@ def dim_customers(
         hot_from=customers if hot_from is None else hot_from,
         broadcast_rows=broadcast_rows,
     )
+    return placed.select(
+        "customer_id",
+        "customer_order_id",
+        "customer_zip_code_prefix",
+        "customer_city",
+        "customer_state",
+        codes.region_of(F.col("customer_state")).alias("customer_region"),
+        "customer_lat",
+        "customer_lng",
+    )
 
 
 def dim_sellers(
@@ -61,7 +70,15 @@ def dim_sellers(
         hot_from=hot_from,
         broadcast_rows=broadcast_rows,
     )
-    return placed.withColumn("seller_region", codes.region_of(F.col("seller_state")))
+    return placed.select(
+        "seller_id",
+        "seller_zip_code_prefix",
+        "seller_city",
+        "seller_state",
+        "seller_lat",
+        "seller_lng",
+        codes.region_of(F.col("seller_state")).alias("seller_region"),
+    )
 
 
 def dim_products(products: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call sites of every column expression double the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # per-order set aggregates see far more than the default 128 groups per task
     # before they would fall back to sorting
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
