@@ -193,6 +193,48 @@ def order_facts(orders: DataFrame, payments: DataFrame, reviews: DataFrame) -> D
     )
 
 
+FACT_COLUMNS = (
+    "order_id",
+    "order_item_id",
+    "product_id",
+    "seller_id",
+    "customer_id",
+    "purchase_date",
+    "approved_date",
+    "carrier_date",
+    "delivered_date",
+    "estimated_delivery_date",
+    "order_status",
+    "order_purchase_timestamp",
+    "order_approved_at",
+    "order_delivered_carrier_date",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+    "item_price",
+    "item_freight",
+    "item_total_revenue",
+    "shipping_limit_date",
+    "total_payment_value",
+    "max_installments",
+    "min_installments",
+    "payment_types_used",
+    "num_payment_methods",
+    "is_split_payment",
+    "primary_payment_type",
+    "review_score",
+    "review_count",
+    "review_creation_date",
+    "has_review_comment",
+    "approval_time_days",
+    "actual_delivery_days",
+    "estimated_delivery_days",
+    "delivery_delta_days",
+    "is_on_time",
+    "is_late",
+    "review_sentiment",
+)
+
+
 def fact_orders(
     orders: DataFrame,
     items: DataFrame,
@@ -217,4 +259,4 @@ def fact_orders(
     by_order = order_facts(orders, payments, reviews).withColumnRenamed("order_id", "_order_id")
     return lookup_join(
         priced, by_order, "order_id", "_order_id", spread_by=["order_item_id"], how="inner", hot_from=hot_from
-    )
+    ).select(*FACT_COLUMNS)

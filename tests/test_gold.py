@@ -1,0 +1,221 @@
+"""Gold tables, star join and monitoring queries on hand-written inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from martwright.plans import gold, monitoring, semantic
+
+
+@pytest.fixture
+def geolocation(spark):
+    return spark.createDataFrame(
+        [("01046", -23.5, -46.6)],
+        "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double",
+    )
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10])
+def test_dim_customers_keeps_one_order_id_per_person(texts, geolocation, broadcast_rows):
+    customers = texts(
+        "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
+        [("c2", "u1", "01046", "a", "SP"), ("c1", "u1", "01046", "b", "SP"), ("c3", "u2", "9", "c", "ZZ")],
+    )
+    dim = gold.dim_customers(customers, geolocation, broadcast_rows=broadcast_rows)
+    assert sorted(map(tuple, dim.collect())) == [
+        ("u1", "c1", "01046", "b", "SP", "Southeast", -23.5, -46.6),
+        ("u2", "c3", "9", "c", "ZZ", "Unknown", None, None),
+    ]
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10])
+def test_dim_sellers(texts, geolocation, broadcast_rows):
+    sellers = texts(
+        "seller_id seller_zip_code_prefix seller_state seller_city",
+        [("s1", "01046", "RS", "a"), ("s2", None, None, "b")],
+    )
+    dim = gold.dim_sellers(sellers, geolocation, broadcast_rows=broadcast_rows)
+    assert sorted(map(tuple, dim.collect())) == [
+        ("s1", "01046", "a", "RS", -23.5, -46.6, "South"),
+        ("s2", None, "b", None, None, None, "Unknown"),
+    ]
+
+
+def test_dim_products_classes(spark):
+    cases = [
+        (Decimal(299), 0, Decimal(3), "light", "no_photo", Decimal("99.6667")),
+        (Decimal(300), 1, Decimal(0), "medium", "single_photo", None),
+        (Decimal(2000), 3, None, "heavy", "few_photos", None),
+        (Decimal(10000), 4, Decimal(16000), "very_heavy", "many_photos", Decimal("0.6250")),
+        (None, 2, Decimal(1), "very_heavy", "few_photos", None),
+    ]
+    rows = [(str(i), weight, photos, volume) for i, (weight, photos, volume, *_) in enumerate(cases)]
+    df = spark.createDataFrame(
+        rows,
+        "product_id string, product_weight_g decimal(10,2), product_photos_qty int, product_volume_cm3 decimal(32,6)",
+    )
+    passed_on = (
+        "product_category_name product_name_length product_description_length product_length_cm"
+        " product_height_cm product_width_cm is_uncategorized has_outlier_dimensions"
+    )
+    df = df.select("*", *[F.lit(None).alias(c) for c in passed_on.split()])
+    got = gold.dim_products(df).orderBy("product_id").select("weight_class", "photo_tier", "density_g_per_cm3")
+    assert [tuple(r) for r in got.collect()] == [tuple(case[3:]) for case in cases]
+
+
+@pytest.fixture
+def payments(spark):
+    return spark.createDataFrame(
+        [
+            ("o1", 1, "voucher", 1, Decimal("10.00")),
+            ("o1", 2, "boleto", 3, Decimal("20.00")),
+            ("o1", 3, "voucher", 2, Decimal("20.00")),
+            ("o2", 1, "pix", 1, Decimal("5.00")),
+        ],
+        "order_id string, payment_sequential int, payment_type string, payment_installments int,"
+        " payment_value decimal(10,2)",
+    )
+
+
+@pytest.fixture
+def reviews(spark):
+    return spark.createDataFrame(
+        [
+            ("r1", "o1", 2, None, None, dt.datetime(2017, 9, 13)),
+            ("r2", "o1", 3, None, "text", dt.datetime(2017, 10, 2)),
+            ("r3", "o2", 5, None, None, dt.datetime(2017, 1, 1)),
+        ],
+        "review_id string, order_id string, review_score int, review_comment_title string,"
+        " review_comment_message string, review_creation_date timestamp_ntz",
+    )
+
+
+def test_payments_per_order_breaks_ties_by_the_last_type(payments):
+    got = sorted(map(tuple, gold.payments_per_order(payments).collect()))
+    assert got == [
+        ("o1", Decimal("50.00"), 3, 1, "boleto, voucher", 2, True, "voucher"),
+        ("o2", Decimal("5.00"), 1, 1, "pix", 1, False, "pix"),
+    ]
+
+
+def test_reviews_per_order(reviews):
+    got = sorted(map(tuple, gold.reviews_per_order(reviews).collect()))
+    assert got == [
+        ("o1", 3, 2, dt.datetime(2017, 10, 2), True),
+        ("o2", 5, 1, dt.datetime(2017, 1, 1), False),
+    ]
+
+
+@pytest.fixture
+def fact(spark, payments, reviews):
+    def at(day: int, hour: int = 0) -> dt.datetime:
+        return dt.datetime(2017, 1, day, hour)
+
+    orders = spark.createDataFrame(
+        [
+            ("o1", "c1", "DELIVERED", at(1, 23), at(2, 1), at(3), at(10), at(9, 23)),
+            ("o3", "c2", "DELIVERED", at(1), at(1), at(1), at(2), at(2)),
+        ],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz,"
+        " order_approved_at timestamp_ntz, order_delivered_carrier_date timestamp_ntz,"
+        " order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz",
+    )
+    items = spark.createDataFrame(
+        [
+            ("o1", 1, "p1", "s1", at(5), Decimal("10.00"), Decimal("2.50")),
+            ("o1", 2, "p9", "s9", at(5), Decimal("10.00"), None),
+            ("o3", 1, "p1", "s1", at(5), Decimal("1.00"), Decimal("1.00")),
+            ("gone", 1, "p1", "s1", at(5), Decimal("1.00"), Decimal("1.00")),
+        ],
+        "order_id string, order_item_id int, product_id string, seller_id string, shipping_limit_date timestamp_ntz,"
+        " price decimal(10,2), freight_value decimal(10,2)",
+    )
+    return gold.fact_orders(orders, items, payments, reviews)
+
+
+def test_fact_orders(fact):
+    assert fact.columns == list(gold.FACT_COLUMNS)
+    got = {(r["order_id"], r["order_item_id"]): r for r in fact.collect()}
+    assert sorted(got) == [("o1", 1), ("o1", 2), ("o3", 1)]
+    first, bare = got["o1", 1], got["o3", 1]
+    assert first["item_total_revenue"] == Decimal("12.50") and got["o1", 2]["item_total_revenue"] is None
+    assert (first["approval_time_days"], first["actual_delivery_days"]) == (1, 9)
+    assert (first["estimated_delivery_days"], first["delivery_delta_days"]) == (8, 1)
+    assert (first["is_on_time"], first["is_late"], first["review_sentiment"]) == (False, True, "neutral")
+    assert first["total_payment_value"] == got["o1", 2]["total_payment_value"] == Decimal("50.00")
+    assert (bare["is_on_time"], bare["is_late"], bare["review_sentiment"]) == (True, False, "no_review")
+    assert bare["payment_types_used"] is None and bare["review_count"] is None
+
+
+@pytest.fixture
+def dimensions(texts):
+    return {
+        "dim_customers": texts("customer_id customer_order_id customer_region customer_state", [("u", "c1", "South", "RS")]),
+        "dim_products": texts("product_id product_category_name", [("p1", "toys")]),
+        "dim_sellers": texts("seller_id seller_region seller_state", [("s1", "North", "AM")]),
+    }
+
+
+def test_star_join_keeps_every_fact_row(fact, dimensions):
+    star = semantic.star_join("semantic_orders", fact, dimensions)
+    assert star.columns == list(semantic.VIEWS["semantic_orders"])
+    got = {(r["order_id"], r["order_item_id"]): r for r in star.collect()}
+    shown = ("customer_region", "customer_state", "product_category_name", "seller_region", "seller_state")
+    assert {key: tuple(r[c] for c in shown) for key, r in got.items()} == {
+        ("o1", 1): ("South", "RS", "toys", "North", "AM"),
+        ("o1", 2): ("South", "RS", None, None, None),
+        ("o3", 1): (None, None, "toys", "North", "AM"),
+    }
+
+
+@pytest.mark.parametrize("view", list(semantic.VIEWS))
+def test_marts_are_projections_of_the_star_join(spark, fact, dimensions, view):
+    columns = semantic.VIEWS[view]
+    full = semantic.star_join("semantic_orders", fact, dimensions).select(*columns)
+    expected = Counter(map(tuple, full.collect()))
+    assert Counter(map(tuple, semantic.star_join(view, fact, dimensions).collect())) == expected
+    fact.createOrReplaceTempView("fact_view")
+    for name, df in dimensions.items():
+        df.createOrReplaceTempView(name)
+    sql = semantic.view_sql(view, "fact_view", {name: name for name in dimensions})
+    assert Counter(map(tuple, spark.sql(sql).drop("loaded_at").collect())) == expected
+
+
+def test_finance_mart_reads_no_dimension():
+    assert semantic.dimensions_of("semantic_finance_orders") == []
+
+
+def test_recent_logs(spark):
+    at = dt.datetime(2024, 1, 31)
+    rows = [(at - dt.timedelta(hours=h), f'{{"severity_text": "S{h}"}}', f"line {h}") for h in (0, 23, 24, 25)]
+    rows.append((at - dt.timedelta(hours=1), "no json", None))
+    events = spark.createDataFrame(rows, "timestamp timestamp_ntz, record string, value string")
+    assert [tuple(r)[1:] for r in monitoring.recent_logs(events, at).collect()] == [
+        ("S0", "line 0"),
+        (None, None),
+        ("S23", "line 23"),
+        ("S24", "line 24"),
+    ]
+    assert monitoring.recent_logs(events, at, n=2).count() == 2
+
+
+def test_run_history_and_failed_runs(spark):
+    at = dt.datetime(2024, 1, 31)
+    rows = [
+        ("a", "SUCCEEDED", at - dt.timedelta(days=7), at, None),
+        ("b", "FAILED", at, at + dt.timedelta(milliseconds=1500), "boom"),
+        ("c", "FAILED", at - dt.timedelta(days=8), at, "old"),
+        ("d", "RUNNING", at - dt.timedelta(days=1), None, None),
+    ]
+    log = spark.createDataFrame(
+        rows,
+        "name string, state string, scheduled_time timestamp_ntz, completed_time timestamp_ntz, error_message string",
+    )
+    history = [(r["name"], r["duration_sec"]) for r in monitoring.run_history(log, at).collect()]
+    assert history == [("b", 1), ("d", None), ("a", 7 * 86400)]
+    assert [r["name"] for r in monitoring.failed_runs(log).collect()] == ["b", "c"]

@@ -1,0 +1,146 @@
+"""Operators against brute force, and the plans they must get."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from martwright.operators.calendar import date_dimension
+from martwright.operators.dedup import ascending, keep_first
+from martwright.operators.lookup import HOT_SHARE, hot_keys, lookup_join
+from martwright.operators.outliers import iqr_bounds, keep_inside, outside_flag
+from martwright.operators.quantiles import exact_quantiles
+
+
+def continuous(values: list, q: Decimal) -> Decimal:
+    """Continuous percentile by its definition."""
+    values = sorted(values)
+    position = q * (len(values) - 1)
+    low = int(position)
+    high = min(low + 1, len(values) - 1)
+    return values[low] + (values[high] - values[low]) * (position - low)
+
+
+@pytest.mark.parametrize("width", [0.5, 3, 10_000])
+def test_quantiles_equal_brute_force_per_group(spark, width):
+    rng = random.Random(7)
+    rows = [("hot", Decimal(rng.randint(-5000, 5000)) / 100) for _ in range(900)]
+    rows += [(rng.choice("abcdef"), Decimal(rng.randint(-300, 300)) / 100) for _ in range(60)]
+    rows += [("single", Decimal("1.25")), ("single", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, v decimal(10,2)")
+    got = exact_quantiles(df, "v", {"q1": "0.25", "mid": "0.5", "top": "1"}, width, by=["k"]).collect()
+    groups = defaultdict(list)
+    for key, value in rows:
+        if value is not None:
+            groups[key].append(value)
+    assert {r["k"]: (r["n"], r["q1"], r["mid"], r["top"]) for r in got} == {
+        key: (len(v), *[continuous(v, Decimal(q)) for q in ("0.25", "0.5", "1")]) for key, v in groups.items()
+    }
+
+
+def test_quantiles_of_nothing_are_one_row_of_null(spark):
+    df = spark.createDataFrame([(None,)], "v int")
+    assert [tuple(r) for r in exact_quantiles(df, "v", {"q1": "0.25"}, 64).collect()] == [(0, None)]
+
+
+def test_quantiles_match_builtin_percentile_on_integers(spark):
+    df = spark.range(1, 2000).select((F.pmod(F.col("id") * 7919, F.lit(1013)) - 500).cast("int").alias("v"))
+    ours = exact_quantiles(df, "v", {"a": "0.25", "b": "0.75"}, 64).first()
+    theirs = df.agg(F.percentile("v", [0.25, 0.75])).first()[0]
+    assert [float(ours["a"]), float(ours["b"])] == theirs
+
+
+def test_fence_keeps_values_equal_to_a_bound(spark):
+    # quartiles 10.10 and 20.20: the upper bound is exactly 35.35, in doubles it is not
+    values = ["10.10"] * 4 + ["20.20"] * 4 + ["35.35", "35.36", "-5.05", "-5.06"]
+    df = spark.createDataFrame([(Decimal(v),) for v in values], "v decimal(10,2)")
+    base = spark.createDataFrame([(Decimal(v),) for v in values[:8]], "v decimal(10,2)")
+    bounds = iqr_bounds(base, "v", 1024)
+    assert bounds.select("lower_bound", "upper_bound").first() == (Decimal("-5.05"), Decimal("35.35"))
+    assert sorted(r[0] for r in keep_inside(df, "v", bounds).collect())[:1] == [Decimal("-5.05")]
+    assert sorted(r[0] for r in df.where(outside_flag("v", bounds)).collect()) == [Decimal("-5.06"), Decimal("35.36")]
+
+
+def test_keep_first_cuts_groups_before_the_shuffle(spark, plan_of):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    first = keep_first(df, ["k"], ascending("id"))
+    above_shuffle, below_shuffle = plan_of(first).split("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in above_shuffle
+    assert "WindowGroupLimit" in below_shuffle
+    assert sorted(tuple(r) for r in first.collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows under one key, some NULL keys, the rest spread."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 20 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 500))
+    return spark.range(6000).select("id", key.alias("key"))
+
+
+@pytest.fixture
+def names(spark):
+    keys = ["hot", *[f"k{i}" for i in range(0, 500, 2)], "unused"]
+    return spark.createDataFrame([(k, f"name of {k}") for k in keys], "name_key string, name string")
+
+
+def test_hot_keys_finds_the_hot_key_and_no_null(skewed):
+    assert hot_keys(skewed, "key").first()["keys"] == ["hot"]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_lookup_join_equals_plain_join(skewed, names, how, broadcast_rows):
+    plain = skewed.join(names.withColumnRenamed("name_key", "key"), "key", how)
+    ours = lookup_join(skewed, names, "key", "name_key", ["id"], how, broadcast_rows=broadcast_rows)
+    assert ours.columns == ["key", "id", "name"]
+    assert Counter(map(tuple, ours.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_lookup_join_does_not_depend_on_the_hot_keys_it_is_told(spark, skewed, names):
+    plain = Counter(map(tuple, lookup_join(skewed, names, "key", "name_key", ["id"]).collect()))
+    for keys in ([], ["k2"] * 50, [None] * 50):
+        told = spark.createDataFrame([(k,) for k in keys], "key string")
+        assert Counter(map(tuple, lookup_join(skewed, names, "key", "name_key", ["id"], hot_from=told).collect())) == plain
+
+
+def test_lookup_join_spreads_a_hot_key_over_partitions(spark, skewed, names):
+    with_sort_merge = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in with_sort_merge}
+    for k, v in with_sort_merge.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup_join(skewed, names, "key", "name_key", ["id"])
+        sizes = joined.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        plain = skewed.join(names.withColumnRenamed("name_key", "key"), "key", "left")
+        one = plain.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(one) == 1 and one[0]["count"] == 2000
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 1000
+
+
+def test_at_most_one_in_share_keys_are_hot(spark):
+    even = spark.range(10_000).select((F.col("id") % 100).cast("string").alias("key"))
+    assert len(hot_keys(even, "key").first()["keys"]) <= 1 / HOT_SHARE
+
+
+def test_date_dimension(spark):
+    days = {r["date_id"]: r for r in date_dimension(spark, as_of=dt.date(2016, 2, 10)).collect()}
+    assert len(days) == 41
+    first = days[dt.date(2016, 1, 1)]
+    assert tuple(first)[1:] == (2016, 1, 1, 53, 1, "2016-01", "2016-Q1", "Fri", "Jan", False, "Q1 (Jan-Mar)")
+    assert days[dt.date(2016, 1, 2)]["is_weekend"] and days[dt.date(2016, 1, 3)]["is_weekend"]
+    assert not days[dt.date(2016, 1, 4)]["is_weekend"]
+
+
+def test_date_dimension_ends_with_spine_or_as_of(spark):
+    assert date_dimension(spark, as_of=dt.date(2015, 12, 31)).count() == 0
+    late = date_dimension(spark, as_of=dt.date(2050, 1, 1))
+    assert late.agg(F.count("*"), F.max("date_id")).first() == (3652, dt.date(2025, 12, 30))
+    assert date_dimension(spark).agg(F.max("date_id")).first()[0] <= dt.datetime.now(dt.UTC).date()
