@@ -15,6 +15,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.sources.quoted_csv import CSV_OPTIONS, read_quoted_csv
+
 CSV_GLOB = "*.[cC][sS][vV]"
 TABLE_PREFIX = "RAW_"
 
@@ -60,30 +62,23 @@ def standardize_columns(df: DataFrame) -> DataFrame:
 
 
 def read_landing(
-    spark: SparkSession, paths: str | list[str], loaded_at: dt.datetime, multi_line: bool = False
+    spark: SparkSession, paths: list[str], loaded_at: dt.datetime, multi_line: bool = False
 ) -> DataFrame:
     """Rows of CSV files with a header, all columns text, plus ``_LOADED_AT`` and ``_SOURCE_FILE``.
 
-    Quoted fields may hold commas and doubled quotes. Line breaks inside quotes need
-    ``multi_line``, which makes Spark read each file in one task, so ask for it only where a
-    table has such text.
+    Quoted fields may hold commas and doubled quotes; line breaks inside quotes need
+    ``multi_line``, which costs a shuffle, so ask for it only where a table has such text.
     """
-    read = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
+    if multi_line:
+        read, path = read_quoted_csv(spark, paths), F.col("_SOURCE_PATH")
+    else:
         # headers that disagree between the files of a table are an error, not shifted columns
-        .option("enforceSchema", False)
-        .csv(paths)
-    )
-    named = standardize_columns(read)
-    return named.withColumns(
-        {
-            "_LOADED_AT": F.lit(loaded_at).cast("timestamp_ntz"),
-            # Spark gives the name percent-encoded, with a plus sign left as it is
-            "_SOURCE_FILE": F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))),
-        }
-    )
+        read = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", False).csv(paths)
+        path = F.col("_metadata.file_path")
+    # Spark gives paths percent-encoded, with a plus sign left as it is
+    file_name = F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+    loaded = {"_LOADED_AT": F.lit(loaded_at).cast("timestamp_ntz"), "_SOURCE_FILE": file_name}
+    return standardize_columns(read).withColumns(loaded).drop("_SOURCE_PATH")
 
 
 def append_audited(df: DataFrame, table: str, files: int = 1) -> LoadResult:
