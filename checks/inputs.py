@@ -35,7 +35,8 @@ def raw_orders(spark: SparkSession, table: Read) -> DataFrame:
         SELECT CAST(k AS STRING) AS order_id,
                CAST(o_custkey AS STRING) AS customer_id,
                IF(k % 3 = 0, concat(' ', lower(o_orderstatus), ' '), o_orderstatus) AS order_status,
-               date_format(purchase, IF(k % 2 = 0, 'MM/dd/yyyy HH:mm', 'M/d/yyyy H:mm')) AS order_purchase_timestamp,
+               IF(k % 2 = 0, date_format(purchase, 'MM/dd/yyyy HH:mm'), date_format(purchase, 'M/d/yyyy H:mm'))
+                   AS order_purchase_timestamp,
                IF(k % 89 = 0, 'not a date',
                   date_format(purchase + make_dt_interval(CAST(k % 5 AS INT) - 1), 'MM/dd/yyyy HH:mm'))
                    AS order_approved_at,
@@ -62,8 +63,10 @@ def raw_items(spark: SparkSession, table: Read) -> DataFrame:
                     ELSE CAST(l_linenumber AS STRING) END AS order_item_id,
                CAST(l_partkey AS STRING) AS product_id,
                IF(l_partkey % 107 = 0, NULL, CAST(l_suppkey AS STRING)) AS seller_id,
-               date_format(l_shipdate + make_dt_interval(0, 0, l_partkey % 1440),
-                           IF(l_partkey % 4 = 0, 'yyyy-MM-dd HH:mm:ss', 'M/d/yyyy H:mm')) AS shipping_limit_date,
+               IF(l_partkey % 4 = 0,
+                  date_format(l_shipdate + make_dt_interval(0, 0, l_partkey % 1440), 'yyyy-MM-dd HH:mm:ss'),
+                  date_format(l_shipdate + make_dt_interval(0, 0, l_partkey % 1440), 'M/d/yyyy H:mm'))
+                   AS shipping_limit_date,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) AS price,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS STRING) AS freight_value
         FROM {lineitem}

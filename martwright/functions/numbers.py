@@ -20,7 +20,8 @@ def to_decimal(c: Column | str, precision: int, scale: int) -> Column:
 
 def to_int(c: Column | str) -> Column:
     """Integer rounded half-up (``'1.5'`` is 2, ``'1.0'`` is 1); anything else is NULL."""
-    return F.round(to_decimal(c, 18, 4), 0).try_cast("int")
+    # plain digits, by far the most common, need no decimal arithmetic
+    return F.coalesce(_col(c).try_cast("int"), F.round(to_decimal(c, 18, 4), 0).try_cast("int"))
 
 
 def clamp(c: Column, low: Any, high: Any) -> Column:
