@@ -219,3 +219,37 @@ def test_run_history_and_failed_runs(spark):
     history = [(r["name"], r["duration_sec"]) for r in monitoring.run_history(log, at).collect()]
     assert history == [("b", 1), ("d", None), ("a", 7 * 86400)]
     assert [r["name"] for r in monitoring.failed_runs(log).collect()] == ["b", "c"]
+
+
+def test_adaptive_execution_splits_hot_keys_of_the_stored_star_join(spark, plan_of, tmp_path):
+    item = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 700))
+    spark.range(30_000).select(F.col("id").cast("string").alias("order_id"), item.alias("product_id")).write.parquet(
+        str(tmp_path / "fact")
+    )
+    spark.range(700).select(
+        F.concat(F.lit("p"), "id").alias("product_id"), F.lit("toys").alias("product_category_name")
+    ).union(spark.sql("SELECT 'hot', 'games'")).write.parquet(str(tmp_path / "products"))
+    fact, products = (f"parquet.`{tmp_path}/{name}`" for name in ("fact", "products"))
+    (dimension,) = [d for d in semantic.DIMENSIONS if d.table == "dim_products"]
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # the join text of the catalog views, for the one dimension
+        sql = (
+            f"SELECT order_id, product_category_name FROM {fact} AS fact "
+            f"LEFT JOIN {products} AS {dimension.table} ON fact.{dimension.fact_key} = {dimension.table}.{dimension.key}"
+        )
+        joined = spark.sql(sql)
+        assert joined.groupBy("product_category_name").count().count() == 2
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
