@@ -49,9 +49,9 @@ def main(sf_dir: str, names: list[str]) -> int:
     conf = {"spark.master": "local[8]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"}
     spark = build_session("compare", {**conf, "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    con, bad = connect(sf_dir), 0
+    bad = 0
     for name in names or queries():
-        start = time.time()
+        start, con = time.time(), connect(sf_dir)  # a failed statement can make a connection useless
         try:
             rows, lines = difference(spark, con, sf_dir, name)
         except Exception as error:  # report and go on with the next query
