@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as contract
+from checks import oracles, registry
 from checks.compare import connect, difference
 from checks.registry import Layers
 from martwright.plans import silver
@@ -18,23 +18,23 @@ def duck():
 
 
 def test_every_query_has_a_statement():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert registry.queries().keys() == oracles.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_duckdb(spark, duck, name):
     rows, lines = difference(spark, duck, DATA, name)
     assert rows > 0 and lines == []
 
 
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, plan_of):
-    plan = plan_of(contract.queries()["semantic_orders"](spark, DATA))
+    plan = plan_of(registry.queries()["semantic_orders"](spark, DATA))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan
 
 
 def test_deduplication_shuffle_is_shared_with_the_fence(spark, plan_of):
-    df = contract.queries()["silver_payments"](spark, DATA)
+    df = registry.queries()["silver_payments"](spark, DATA)
     df.collect()
     plan = plan_of(df)
     final = plan[: plan.rindex("Initial Plan")]
