@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.llm.bin_slack import pack_documents
 from martwright.llm.longest_previous_factor import remove_repeated_bytes
+from martwright.llm.oracles import ORACLES
 from martwright.llm.phrase_automata import remove_repeated_phrases
+from martwright.llm.storage import new_folder
+from martwright.llm.streaming_dedup import exact_duplicates
+from martwright.llm.token_counts import token_counts
+from martwright.llm.virtual_slots import shard_documents
+from martwright.llm.winnowing import contamination
+
+TOKEN_LIMIT = 512
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +29,38 @@ def op1_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(_table(spark, sf_dir, "documents"), new_folder(spark, "slot-map"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "virtual_slot")
+
+
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op6_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own for each run, so that every run encodes its table
+    counts = token_counts(_table(spark, sf_dir, "documents"), new_folder(spark, "token-cache"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op10_longest_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_bytes(_table(spark, sf_dir, "documents"))
     n_spans = F.size("spans").cast("long").alias("n_spans")
@@ -27,8 +68,19 @@ def op10_longest_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_phrase_automata, op10_longest_previous_factor)}
+    return {f.__name__: f for f in QUERIES}
+
+
+QUERIES = (
+    op1_phrase_automata,
+    op3_virtual_slots,
+    op5_winnowing,
+    op6_streaming_dedup,
+    op7_bin_slack,
+    op9_token_cache,
+    op10_longest_previous_factor,
+)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLES
