@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm.bin_slack import pack_documents
+from martwright.llm.divide_skip import near_duplicates
 from martwright.llm.longest_previous_factor import remove_repeated_bytes
 from martwright.llm.oracles import ORACLES
 from martwright.llm.phrase_automata import remove_repeated_phrases
 from martwright.llm.storage import new_folder
 from martwright.llm.streaming_dedup import exact_duplicates
 from martwright.llm.token_counts import token_counts
+from martwright.llm.toxicity_fm import held_out, toxicity, train
 from martwright.llm.virtual_slots import shard_documents
 from martwright.llm.winnowing import contamination
 
@@ -29,12 +31,23 @@ def op1_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(_table(spark, sf_dir, "documents"), new_folder(spark, "slot-map"))
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "virtual_slot")
 
 
+def op4_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scores = toxicity(docs, train(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -73,7 +86,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 QUERIES = (
     op1_phrase_automata,
+    op2_divide_skip,
     op3_virtual_slots,
+    op4_toxicity_fm,
     op5_winnowing,
     op6_streaming_dedup,
     op7_bin_slack,
