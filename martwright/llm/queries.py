@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from martwright.llm.bin_slack import pack_documents
 from martwright.llm.divide_skip import near_duplicates
+from martwright.llm.html_labeller import main_text
+from martwright.llm.html_labeller import train as train_labeller
 from martwright.llm.longest_previous_factor import remove_repeated_bytes
 from martwright.llm.oracles import ORACLES
 from martwright.llm.phrase_automata import remove_repeated_phrases
@@ -68,6 +70,11 @@ def op7_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return main_text(pages, train_labeller(pages))
+
+
 def op9_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache of its own for each run, so that every run encodes its table
     counts = token_counts(_table(spark, sf_dir, "documents"), new_folder(spark, "token-cache"))
@@ -92,6 +99,7 @@ QUERIES = (
     op5_winnowing,
     op6_streaming_dedup,
     op7_bin_slack,
+    op8_html_labeller,
     op9_token_cache,
     op10_longest_previous_factor,
 )
