@@ -23,6 +23,8 @@ _STATE = {
     _PROVIDER: _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    # preallocated logs would take more disk than many small stores hold
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
