@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from martwright.llm.bin_slack import pack_documents
 from martwright.llm.divide_skip import near_duplicates
 from martwright.llm.html_labeller import main_text
@@ -87,6 +88,10 @@ def op10_longest_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
@@ -102,6 +107,7 @@ QUERIES = (
     op8_html_labeller,
     op9_token_cache,
     op10_longest_previous_factor,
+    pipeline,
 )
 
 
