@@ -58,6 +58,7 @@ def token_counts(
     encoded.select(F.lit(own_version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
 
     stored = spark.read.schema(_CACHE).parquet(cache_path).where(F.col("tokenizer") == own_version)
-    counts = stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # written, so that the join is one of two plain exchanges, of which Spark can split the one with a hot text
+    counts = store(stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     out = rows.join(counts, "digest", "left").select("_id", "n_bytes", "n_tokens")
     return out.withColumn("_id", F.nullif("_id", F.lit(NO_ID))).withColumnRenamed("_id", id_column)
