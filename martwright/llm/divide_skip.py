@@ -60,9 +60,9 @@ def _prefix_length(n: int, percent: int) -> int:
 
 
 def _buckets(tokens: np.ndarray) -> np.ndarray:
-    """How many shingles are in each of a few buckets, about one for 30 shingles and a power of two."""
+    """How many shingles are in each of some buckets, about one for 6 shingles and a power of two."""
     n = 8
-    while n < len(tokens) / 30:
+    while n < len(tokens) / 8:
         n *= 2
     counts = np.bincount((tokens & np.uint64(n - 1)).astype(np.int64), minlength=n)
     return np.minimum(counts, 255).astype(np.uint8)
@@ -91,6 +91,12 @@ def _frequent_rows(size: int, percent: int):
     return rows
 
 
+def _among(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(tokens), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
+
+
 def _set_rows(size: int, percent: int, frequent: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -99,7 +105,7 @@ def _set_rows(size: int, percent: int, frequent: np.ndarray):
             for text in texts_of(batch):
                 tokens = shingles(text, hashes, size)
                 mixed = mix(tokens)
-                last = np.isin(tokens, frequent) if len(frequent) else np.zeros(len(tokens), bool)
+                last = _among(tokens, frequent)
                 ordered = np.concatenate((tokens[~last], tokens[last]))
                 sizes.append(len(tokens))
                 sums.append(int(mixed.sum().view(np.int64)) if len(tokens) else 0)
@@ -121,34 +127,39 @@ def _set_rows(size: int, percent: int, frequent: np.ndarray):
     return rows
 
 
-def _near(n: int, own: np.ndarray, sizes: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which of the others may link to a set of ``n`` shingles with buckets ``own``."""
-    close = (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)).nonzero()[0]
-    out = np.zeros(len(sizes), bool)
-    for width in {len(others[i]) for i in close}:
-        same = [i for i in close if len(others[i]) == width]
-        table, mine = np.array([others[i] for i in same], np.int64), own.astype(np.int64)
-        if width > len(own):
-            table = table.reshape(len(same), -1, len(own)).sum(1)
-        elif width < len(own):
-            mine = mine.reshape(-1, width).sum(0)
-        total = sizes[same] + n
-        out[same] = np.abs(table - mine).sum(1) <= total - 2 * _overlap(total, percent)
-    return out
+def _may_link(n: int, own: np.ndarray, sizes: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link to one of ``n`` shingles: sizes and, row by row of ``table``, buckets close enough."""
+    mine = own.astype(np.int32)
+    if table.shape[1] > len(mine):
+        table = table.reshape(len(table), -1, len(mine)).sum(1)
+    elif table.shape[1] < len(mine):
+        mine = mine.reshape(-1, table.shape[1]).sum(0)
+    total = sizes + n
+    return np.abs(table - mine).sum(1) <= total - 2 * _overlap(total, percent)
 
 
 def _forest(sizes: np.ndarray, buckets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """Edges of a spanning forest of the sets that may link."""
-    left = np.arange(len(sizes))
-    while len(left):
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
+    widths = np.array([len(b) for b in buckets])
+    kinds = [(where, np.array([buckets[i] for i in where], np.int32)) for where in (np.flatnonzero(widths == w) for w in np.unique(widths))]
+    left = np.ones(len(sizes), bool)
+    for root in range(len(sizes)):
+        if not left[root]:
+            continue
+        left[root] = False
+        queue = [root]
+        while queue:
             at = queue.pop()
-            near = _near(int(sizes[at]), buckets[at], sizes[left], [buckets[i] for i in left], percent)
-            for i in left[near]:
-                yield at, i
-                queue.append(i)
-            left = left[~near]
+            n = int(sizes[at])
+            for where, table in kinds:
+                own = sizes[where]
+                close = np.flatnonzero(left[where] & (100 * np.minimum(own, n) >= percent * np.maximum(own, n)))
+                if len(close):
+                    near = where[close[_may_link(n, buckets[at], own[close], table[close], percent)]]
+                    left[near] = False
+                    for i in near:
+                        yield at, i
+                    queue += near.tolist()
 
 
 def _edge_batch(edges: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
@@ -319,7 +330,8 @@ def near_duplicates(
     schema = "_id long, _h long, n long, sum long, fold long, prefix array<long>, buckets binary"
     sets = store(texts.mapInArrow(_set_rows(size, percent, last), schema), "sets")
     same = ["n", "sum", "fold"]
-    classes = sets.groupBy(*same).agg(F.min(F.struct(*KEY)).alias("stands"))
+    # written, so that the join is one of two plain exchanges, of which Spark can split the one with many copies
+    classes = store(sets.groupBy(*same).agg(F.min(F.struct(*KEY)).alias("stands")), "stands")
     members = sets.select(*KEY, *same).join(classes, same).select(*KEY, "n", "stands")
     members = store(members, "members")
     stand = members.where((F.col("stands._id") == F.col("_id")) & (F.col("stands._h") == F.col("_h")) & (F.col("n") > 0)).select(*KEY).distinct()
@@ -335,7 +347,8 @@ def near_duplicates(
         return components(edges.select(a, b), "a", "b")
 
     groups = nodes(near).select("node.*", F.col("component._id").alias("group_id"), F.col("component._h").alias("group_h"))
-    whole = texts.join(groups, KEY).dropDuplicates(KEY)
+    # the candidates grow with the documents, so they are not to be broadcast, however few they are
+    whole = texts.join(groups.hint("merge"), KEY).dropDuplicates(KEY)
     whole = store(whole.mapInArrow(_whole_sets(size), "group_id long, group_h long, _id long, _h long, tokens binary"), "whole-sets")
     group = ["group_id", "group_h"]
     weights = whole.groupBy(*group).agg((F.sum(F.octet_length("tokens")) / 8).alias("shingles"))
