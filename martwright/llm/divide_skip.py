@@ -60,7 +60,7 @@ def _prefix_length(n: int, percent: int) -> int:
 
 
 def _buckets(tokens: np.ndarray) -> np.ndarray:
-    """How many shingles are in each of some buckets, about one for 6 shingles and a power of two."""
+    """How many shingles are in each of some buckets, at least one for 8 shingles and a power of two."""
     n = 8
     while n < len(tokens) / 8:
         n *= 2
@@ -348,7 +348,7 @@ def near_duplicates(
 
     groups = nodes(near).select("node.*", F.col("component._id").alias("group_id"), F.col("component._h").alias("group_h"))
     # the candidates grow with the documents, so they are not to be broadcast, however few they are
-    whole = texts.join(groups.hint("merge"), KEY).dropDuplicates(KEY)
+    whole = texts.join(groups.hint("merge"), KEY)
     whole = store(whole.mapInArrow(_whole_sets(size), "group_id long, group_h long, _id long, _h long, tokens binary"), "whole-sets")
     group = ["group_id", "group_h"]
     weights = whole.groupBy(*group).agg((F.sum(F.octet_length("tokens")) / 8).alias("shingles"))
