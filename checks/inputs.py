@@ -29,7 +29,7 @@ def raw_orders(spark: SparkSession, table: Read) -> DataFrame:
             SELECT o_orderkey AS k, o_custkey, o_orderstatus,
                    o_orderdate + make_dt_interval(copy, 0, o_orderkey % 1440) AS purchase,
                    first_ship, last_ship
-            FROM {orders} JOIN shipped ON o_orderkey = l_orderkey
+            FROM {orders} LEFT JOIN shipped ON o_orderkey = l_orderkey
             LATERAL VIEW explode(IF(o_orderkey % 50 = 0, array(0, 1), array(0))) c AS copy
         )
         SELECT CAST(k AS STRING) AS order_id,
@@ -122,7 +122,7 @@ def raw_geolocation(spark: SparkSession, table: Read) -> DataFrame:
                CASE WHEN doc_id % 83 = 0 THEN '123.5'
                     ELSE CAST(CAST((n_chars % 4500 - 3400) * 0.01 AS DECIMAL(10,2)) AS STRING) END AS geolocation_lat,
                CAST(CAST((n_chars % 5000 - 7400) * 0.01 AS DECIMAL(10,2)) AS STRING) AS geolocation_lng,
-               CASE WHEN doc_id % 71 = 0 THEN '  ' ELSE concat(' ', left(text, 1), 'ÃO  Town ') END AS geolocation_city,
+               CASE WHEN doc_id % 71 = 0 THEN '  ' ELSE concat(' ', source, 'ÃO  Town ') END AS geolocation_city,
                concat(lang, ' ') AS geolocation_state
         FROM {documents}
         """,

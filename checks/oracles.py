@@ -10,7 +10,8 @@ import re
 
 from checks.inputs import STATE_LIST
 
-# Common table expressions; each may use the ones above it.
+# Common table expressions; each may use the ones above it. Fixed values in them, as in the library: the regions, the columns of
+# the tables, and the limits of the classes.
 PARTS = {
     "shipped": """
         SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
@@ -19,7 +20,7 @@ PARTS = {
     "landed_orders": """
         SELECT o_orderkey AS k, o_custkey, o_orderstatus, first_ship, last_ship,
                o_orderdate + to_minutes(o_orderkey % 1440) + to_days(copy) AS purchase
-        FROM orders JOIN shipped ON l_orderkey = o_orderkey
+        FROM orders LEFT JOIN shipped ON l_orderkey = o_orderkey
         JOIN (SELECT 0 AS copy UNION ALL SELECT 1) ON copy = 0 OR o_orderkey % 50 = 0""",
     "complete_orders": """
         SELECT CAST(k AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
@@ -30,7 +31,7 @@ PARTS = {
                purchase + to_days(CAST(k % 400 - 20 AS INTEGER)) AS order_estimated_delivery_date,
                CAST(last_ship AS DATE) - CAST(purchase AS DATE) AS days
         FROM landed_orders
-        WHERE k % 89 <> 0 AND k % 97 <> 0
+        WHERE k % 89 <> 0 AND k % 97 <> 0 AND first_ship IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY k ORDER BY purchase DESC) = 1""",
     "delivery_quartiles": """
         SELECT quantile_cont(CAST(days AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(days AS DOUBLE), 0.75) AS q3
@@ -47,9 +48,8 @@ PARTS = {
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
                CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
                l_shipdate + to_minutes(l_partkey % 1440) AS shipping_limit_date,
-               CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
-               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(10,2))
-                   AS freight_value
+               CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+               CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS freight_value
         FROM lineitem
         WHERE l_partkey % 101 <> 0 AND l_partkey % 103 <> 0 AND l_partkey % 107 <> 0
         QUALIFY row_number() OVER (
@@ -100,7 +100,7 @@ PARTS = {
     "points": """
         SELECT DISTINCT lpad(CAST(doc_id % 60 AS VARCHAR), 5, '0') AS zip,
                (n_chars % 4500 - 3400) / 100.0 AS lat, (n_chars % 5000 - 7400) / 100.0 AS lng,
-               lower(left(text, 1)) AS initial, left(text, 1) || 'ÃO  Town' AS original, upper(lang) AS state
+               lower(source) AS initial, source || 'ÃO  Town' AS original, upper(lang) AS state
         FROM documents
         WHERE doc_id % 83 <> 0 AND doc_id % 71 <> 0
           AND n_chars % 4500 - 3400 BETWEEN -3400 AND 500 AND n_chars % 5000 - 7400 BETWEEN -7400 AND -3400""",
@@ -307,8 +307,8 @@ def oracle_sql() -> dict[str, str]:
         "dim_dates": """
             WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
                           FROM orders),
-            spine AS (SELECT CAST(unnest(generate_series(first_day,
-                                 least(last_day, first_day + 3651), INTERVAL 1 DAY)) AS DATE) AS date_id FROM span)
+            spine AS (SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS date_id
+                      FROM span)
             SELECT date_id, CAST(year(date_id) AS INTEGER) AS year, CAST(month(date_id) AS INTEGER) AS month,
                    CAST(day(date_id) AS INTEGER) AS day, CAST(week(date_id) AS INTEGER) AS week_of_year,
                    CAST(quarter(date_id) AS INTEGER) AS quarter, strftime(date_id, '%Y-%m') AS year_month,
@@ -338,7 +338,8 @@ def oracle_sql() -> dict[str, str]:
             """SELECT name, state, scheduled_time, completed_time,
                       date_diff('second', scheduled_time, completed_time) AS duration_sec, error_message
                FROM runs WHERE scheduled_time >= (SELECT max(ts) FROM events) - INTERVAL 7 DAYS
-               ORDER BY scheduled_time DESC, name LIMIT 100"""
+               ORDER BY scheduled_time DESC, name, completed_time NULLS FIRST, state NULLS FIRST, error_message NULLS FIRST
+               LIMIT 100"""
         ),
         "failed_runs": _statement(
             "SELECT name, state, error_message, scheduled_time FROM runs WHERE state = 'FAILED'"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import inputs
-from martwright.operators.calendar import DAYS, date_dimension
+from martwright.operators.calendar import date_dimension
 from martwright.plans import gold, monitoring, semantic, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,13 +27,18 @@ def comparable(df: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: a test table is one row group, so that one task would render and parse its whole landing."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Layers:
     """The layered tables over one directory, each a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         # one DataFrame per file and landing: reading the schema of a file is a job of its own
-        self.table = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        self.table = cache(lambda name: spread(spark.read.parquet(f"{sf_dir}/{name}.parquet")))
         self.raw = cache(lambda name: getattr(inputs, f"raw_{name}")(spark, self.table))
         self.geolocation = cache(lambda: silver.silver_geolocation(self.raw("geolocation")))
 
@@ -71,7 +76,7 @@ class Layers:
         """The calendar from the first to the last order date."""
         days = self.table("orders").select(F.to_date("o_orderdate").alias("day"))
         first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
-        return date_dimension(self.spark, first, DAYS, last)
+        return date_dimension(self.spark, first, as_of=last)
 
     def fact(self) -> DataFrame:
         return gold.fact_orders(
@@ -85,10 +90,7 @@ class Layers:
             "dim_sellers": self.dim_sellers,
         }
         dimensions = {d.table: build[d.table]() for d in semantic.dimensions_of(name)}
-        customers = self.table("orders").select(F.col("o_custkey").cast("string").alias("customer_id"))
-        items = self.raw("items")
-        hot_from = {"customer_id": customers, "product_id": items, "seller_id": items}
-        return semantic.star_join(name, self.fact(), dimensions, hot_from)
+        return semantic.star_join(name, self.fact(), dimensions)
 
     def newest_event(self):
         return self.table("events").agg(F.max("ts")).scalar()

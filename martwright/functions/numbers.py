@@ -18,10 +18,15 @@ def to_decimal(c: Column | str, precision: int, scale: int) -> Column:
     return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
+def to_number(c: Column | str) -> Column:
+    """Number as the text has it, to 18 decimals, to compare or to round once; anything else is NULL."""
+    return to_decimal(c, 38, 18)
+
+
 def to_int(c: Column | str) -> Column:
     """Integer rounded half-up (``'1.5'`` is 2, ``'1.0'`` is 1); anything else is NULL."""
     # plain digits, by far the most common, need no decimal arithmetic
-    return F.coalesce(_col(c).try_cast("int"), F.round(to_decimal(c, 18, 4), 0).try_cast("int"))
+    return F.coalesce(_col(c).try_cast("int"), F.round(to_number(c), 0).try_cast("int"))
 
 
 def clamp(c: Column, low: Any, high: Any) -> Column:

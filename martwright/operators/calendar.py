@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from martwright.functions.numbers import banded, flag
 
-# First day and length of the standard calendar, and its quarter labels.
+# First day of the standard calendar, and its quarter labels.
 FIRST_DAY = dt.date(2016, 1, 1)
-DAYS = 3652
 QUARTER_LABELS = {1: "Q1 (Jan-Mar)", 2: "Q2 (Apr-Jun)", 3: "Q3 (Jul-Sep)", 4: "Q4 (Oct-Dec)"}
 
 
@@ -22,16 +21,19 @@ def _as_date(day: dt.date | Column) -> Column:
 def date_spine(
     spark: SparkSession,
     start: dt.date | Column = FIRST_DAY,
-    days: int = DAYS,
+    days: int | None = None,
     as_of: dt.date | Column | None = None,
 ) -> DataFrame:
-    """``days`` consecutive dates from ``start``, none later than ``as_of`` (today by default).
+    """All dates from ``start`` to ``as_of`` (today by default), at most ``days`` of them if given.
 
     ``start`` and ``as_of`` are dates or scalar subqueries.
     """
-    last = F.current_date() if as_of is None else _as_date(as_of)
-    spine = spark.range(days).select(F.date_add(_as_date(start), F.col("id").cast("int")).alias("date_id"))
-    return spine.where(F.col("date_id") <= last)
+    first, last = _as_date(start), F.current_date() if as_of is None else _as_date(as_of)
+    ends = spark.range(1).select(first.cast("date").alias("first"), last.cast("date").alias("last"))
+    if days is not None:
+        ends = ends.withColumn("last", F.least("last", F.date_add("first", days - 1)))
+    # one row per day of a few decades
+    return ends.where("first <= last").select(F.explode(F.sequence("first", "last")).alias("date_id"))
 
 
 def with_calendar(df: DataFrame, day: str = "date_id") -> DataFrame:
@@ -56,7 +58,7 @@ def with_calendar(df: DataFrame, day: str = "date_id") -> DataFrame:
 def date_dimension(
     spark: SparkSession,
     start: dt.date | Column = FIRST_DAY,
-    days: int = DAYS,
+    days: int | None = None,
     as_of: dt.date | Column | None = None,
 ) -> DataFrame:
     return with_calendar(date_spine(spark, start, days, as_of))

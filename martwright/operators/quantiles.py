@@ -16,9 +16,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-_RESULT = "decimal(30,12)"
-
+from pyspark.sql import types as T
 
 def exact_quantiles(
     df: DataFrame,
@@ -29,11 +27,13 @@ def exact_quantiles(
 ) -> DataFrame:
     """``by`` + ``n`` + one decimal column per entry of ``quantiles`` (name -> fraction as text).
 
-    ``value`` is an integer or decimal column with at most 10 decimals; NULLs are not
-    counted. Without ``by`` the result is exactly one row. The definition is the continuous
+    ``value`` is an integer or decimal column; NULLs are not counted. Results are exact decimals, as far as 38 digits
+    hold them. Without ``by`` the result is exactly one row. The definition is the continuous
     one: rank ``q * (n - 1)``, linear between the two neighbours.
     """
     by = list(by)
+    kind = df.schema[value].dataType
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
     # never NULL here; saying so spares the join below a filter, and lets Spark run the
     # counting once for both uses
     value_range = F.coalesce(F.floor(F.col(value).cast("double") / width), F.lit(0)).alias("_range")
@@ -71,7 +71,7 @@ def exact_quantiles(
         neighbours += [value_at(low).alias(f"_{name}_low"), value_at(high).alias(f"_{name}_high")]
     picked = ranked.groupBy(*by).agg(F.max("n").alias("n"), *neighbours)
     return picked.select(
-        *by, F.coalesce("n", F.lit(0)).alias("n"), *[_between(name, q).alias(name) for name, q in quantiles.items()]
+        *by, F.coalesce("n", F.lit(0)).alias("n"), *[_between(name, q, scale).alias(name) for name, q in quantiles.items()]
     )
 
 
@@ -83,10 +83,15 @@ def _ranks(q: str) -> tuple[Column, Column]:
     return F.floor(_position(q)), F.ceil(_position(q))
 
 
-def _between(name: str, q: str) -> Column:
-    low, high = (F.col(f"_{name}_{side}").cast("decimal(20,10)") for side in ("low", "high"))
-    fraction = (_position(q) - F.floor(_position(q))).cast("decimal(5,4)")
-    return (low + (high - low) * fraction).cast(_RESULT)
+def _between(name: str, q: str, scale: int) -> Column:
+    low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
+    digits = max(0, -Decimal(q).as_tuple().exponent)
+    fraction = (_position(q) - F.floor(_position(q))).cast(f"decimal({digits + 1},{digits})")
+    # so many digits that neither the product nor the sum needs more than 38
+    whole = 38 - digits - 4
+    step = (high - low).cast(f"decimal({whole},{scale})") * fraction
+    exact = low.cast(f"decimal({whole},{scale})") + step
+    return exact.cast(f"decimal({min(38, 24 + scale + digits)},{scale + digits})")
 
 
 def _any(conditions: list[Column]) -> Column:

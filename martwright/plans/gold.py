@@ -1,6 +1,6 @@
 """Gold tables: dimensions and the fact table at order-item grain.
 
-``hot_from`` and ``broadcast_rows`` are those of ``lookup_join``.
+``hot_from`` is that of ``lookup_join``.
 """
 
 from __future__ import annotations
@@ -21,9 +21,7 @@ def _positions(geolocation: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def dim_customers(
-    customers: DataFrame, geolocation: DataFrame, hot_from: DataFrame | None = None, broadcast_rows: int = 0
-) -> DataFrame:
+def dim_customers(customers: DataFrame, geolocation: DataFrame, hot_from: DataFrame | None = None) -> DataFrame:
     """One row per person, with the position of the zip code and the macro-region.
 
     ``customer_id`` is the person; ``customer_order_id`` is one (the smallest) of the
@@ -43,7 +41,6 @@ def dim_customers(
         "_zip",
         spread_by=["customer_id"],
         hot_from=customers if hot_from is None else hot_from,
-        broadcast_rows=broadcast_rows,
     )
     return placed.select(
         "customer_id",
@@ -57,20 +54,13 @@ def dim_customers(
     )
 
 
-def dim_sellers(
-    sellers: DataFrame, geolocation: DataFrame, hot_from: DataFrame | None = None, broadcast_rows: int = 0
-) -> DataFrame:
-    """Sellers with the position of their zip code and the macro-region."""
-    placed = lookup_join(
-        sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
-        _positions(geolocation, "seller"),
-        "seller_zip_code_prefix",
-        "_zip",
-        spread_by=["seller_id"],
-        hot_from=hot_from,
-        broadcast_rows=broadcast_rows,
-    )
-    return placed.select(
+def dim_sellers(sellers: DataFrame, geolocation: DataFrame) -> DataFrame:
+    """Sellers with the position of their zip code and the macro-region.
+
+    Both sides have one row per zip code, so no key can be hot.
+    """
+    positions = _positions(geolocation, "seller").withColumnRenamed("_zip", "seller_zip_code_prefix")
+    return sellers.join(positions, "seller_zip_code_prefix", "left").select(
         "seller_id",
         "seller_zip_code_prefix",
         "seller_city",
@@ -83,6 +73,7 @@ def dim_sellers(
 
 def dim_products(products: DataFrame) -> DataFrame:
     """Products with weight class (no weight counts as very heavy), photo tier and density."""
+    # fixed values: limits of the weight classes in grams, and of the photo tiers
     weight, photos = F.col("product_weight_g"), F.col("product_photos_qty")
     weight_class = numbers.banded(
         [(weight < 300, F.lit("light")), (weight < 2000, F.lit("medium")), (weight < 10000, F.lit("heavy"))],
@@ -193,6 +184,7 @@ def order_facts(orders: DataFrame, payments: DataFrame, reviews: DataFrame) -> D
     )
 
 
+# Columns of the fact table.
 FACT_COLUMNS = (
     "order_id",
     "order_item_id",

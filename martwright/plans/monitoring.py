@@ -47,7 +47,7 @@ def run_history(
             second_diff("scheduled_time", "completed_time").alias("duration_sec"),
             "error_message",
         )
-        .orderBy(F.desc("scheduled_time"), "name")
+        .orderBy(F.desc("scheduled_time"), "name", "completed_time", "state", "error_message")
         .limit(n)
     )
 

@@ -12,8 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from martwright.operators.lookup import lookup_join
-
 
 @dataclass(frozen=True)
 class Dimension:
@@ -31,7 +29,7 @@ DIMENSIONS = (
     Dimension("dim_sellers", "seller_id", "seller_id", ("seller_region", "seller_state")),
 )
 
-# View -> its columns. All but the first are marts for one group of users.
+# View -> its columns. All but the first are marts for one group of users.
 VIEWS = {
     "semantic_orders": (
         "order_id",
@@ -75,38 +73,19 @@ def dimensions_of(view: str) -> list[Dimension]:
     return [d for d in DIMENSIONS if set(d.columns) & set(VIEWS[view])]
 
 
-def star_join(
-    view: str,
-    fact: DataFrame,
-    dimensions: Mapping[str, DataFrame],
-    hot_from: Mapping[str, DataFrame] | None = None,
-    broadcast_rows: int = 0,
-) -> DataFrame:
-    """The columns of ``view``, one row per fact row.
-
-    ``dimensions`` holds the needed dimension tables by name; ``hot_from`` may hold, per key
-    column of the fact table, a frame to look for hot keys in (the fact table otherwise).
-    Items of an order whose customer id is not the one kept in the customer dimension, or
-    whose seller was dropped, have NULL there.
-    """
-    joined = fact
-    for d in dimensions_of(view):
-        shown = dimensions[d.table].select(dimensions[d.table][d.key].alias("_dimension_key"), *d.columns)
-        joined = lookup_join(
-            joined,
-            shown,
-            d.fact_key,
-            "_dimension_key",
-            spread_by=["order_id", "order_item_id"],
-            hot_from=(hot_from or {}).get(d.fact_key, fact),
-            broadcast_rows=broadcast_rows,
-        )
-    return joined.select(*VIEWS[view])
+def star_join(view: str, fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """The columns of ``view``, one row per fact row, by the text that the catalog view has."""
+    needed = [d.table for d in dimensions_of(view)]
+    text = view_sql(view, "{fact}", {table: f"{{{table}}}" for table in needed})
+    return fact.sparkSession.sql(text, fact=fact, **{table: dimensions[table] for table in needed}).drop("loaded_at")
 
 
 def view_sql(view: str, fact: str, dimensions: Mapping[str, str]) -> str:
     """SELECT text of ``view`` over stored tables, for a catalog view.
 
+    Items of an order whose customer id is not the one kept in the customer dimension, or
+    whose seller was dropped, have NULL there.
+
     The tables are read directly by the joins, so adaptive execution sees their real sizes:
     it broadcasts small dimensions and splits the partitions of hot keys.
     """

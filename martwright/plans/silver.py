@@ -28,6 +28,9 @@ DEGREE_RANGE = 0.001
 MONEY_RANGE = 1024
 DAY_RANGE = 64
 
+# Precision and scale of prices: wide, and finer than cents, so that a landing's own scale is kept.
+MONEY = (24, 6)
+
 ORDER_TIMES = (
     "order_purchase_timestamp",
     "order_approved_at",
@@ -110,22 +113,23 @@ def silver_order_items(raw: DataFrame) -> DataFrame:
             "product_id",
             "seller_id",
             times.parse_ts_or_iso("shipping_limit_date").alias("shipping_limit_date"),
-            numbers.to_decimal("price", 10, 2).alias("price"),
-            numbers.to_decimal("freight_value", 10, 2).alias("freight_value"),
+            numbers.to_decimal("price", *MONEY).alias("price"),
+            numbers.to_decimal("freight_value", *MONEY).alias("freight_value"),
         )
-        .where("order_item_id >= 1")
     )
     latest = [
         F.desc_nulls_last("shipping_limit_date"),
         *ascending("product_id", "seller_id", "price", "freight_value"),
     ]
-    return keep_first(typed, ["order_id", "order_item_id"], latest)
+    # numbers that are none, or below 1, fall out after the choice: before it, Spark would parse each number twice
+    number = F.coalesce("order_item_id", F.lit(0))
+    return keep_first(typed, ["order_id", number], latest).where("order_item_id >= 1")
 
 
 def deduplicated_payments(raw: DataFrame) -> DataFrame:
     """Typed payments, the highest value per order and sequence number."""
     keyed = require_not_null(raw, "order_id", "payment_sequential").withColumn(
-        "_value", numbers.to_decimal("payment_value", 18, 6)
+        "_value", numbers.to_number("payment_value")
     )
     # '1' and '1.0' are one number; a number that does not parse stays its own key
     number = numbers.to_int("payment_sequential")
@@ -136,7 +140,7 @@ def deduplicated_payments(raw: DataFrame) -> DataFrame:
         number.alias("payment_sequential"),
         codes.map_synonyms("payment_type", codes.PAYMENT_SYNONYMS).alias("payment_type"),
         numbers.to_int("payment_installments").alias("payment_installments"),
-        F.round("_value", 2).try_cast("decimal(10,2)").alias("payment_value"),
+        F.round("_value", 2).alias("payment_value"),
     )
 
 
@@ -157,7 +161,7 @@ def silver_reviews(raw: DataFrame) -> DataFrame:
 
     A review without an answer time counts as newer than one with.
     """
-    score = numbers.to_decimal("review_score", 18, 4)
+    score = numbers.to_number("review_score")
     typed = (
         require_not_null(raw, "review_id", "order_id", "review_creation_date")
         .where(score.between(1, 5))
@@ -186,16 +190,18 @@ def silver_reviews(raw: DataFrame) -> DataFrame:
 def deduplicated_orders(raw: DataFrame) -> DataFrame:
     """Orders with all five times, the latest purchase per ``order_id``, and their delivery days."""
     names = ("order_id", "customer_id", "order_status")
-    parsed = raw.select(*names, *[times.parse_ts(name).alias(name) for name in ORDER_TIMES])
+    # NULL texts fall out at the scan; what does not parse does so after the choice, so that each time is parsed once
+    texts = require_not_null(raw, *names, *ORDER_TIMES)
+    parsed = texts.select(*names, *[times.parse_ts(name).alias(name) for name in ORDER_TIMES])
+    complete = F.least(*[F.col(name).isNotNull() for name in ORDER_TIMES])
     latest = [
+        F.desc(complete),
         F.desc("order_purchase_timestamp"),
         *ascending("customer_id", "order_status"),
         *[F.desc(name) for name in ORDER_TIMES[1:]],
     ]
     days = times.day_diff("order_purchase_timestamp", "order_delivered_customer_date")
-    return keep_first(require_not_null(parsed, *names, *ORDER_TIMES), ["order_id"], latest).withColumn(
-        "delivery_time_days", days
-    )
+    return require_not_null(keep_first(parsed, ["order_id"], latest), *ORDER_TIMES).withColumn("delivery_time_days", days)
 
 
 def delivery_bounds(raw: DataFrame, k: str = "1.5") -> DataFrame:

@@ -7,7 +7,7 @@ table.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Collection
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import PurePosixPath
 from urllib.parse import unquote
@@ -15,20 +15,22 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.sources.quoted_csv import CSV_OPTIONS, read_quoted_csv
+from martwright.sources.quoted_csv import CSV_OPTIONS, REJECTED, csv_schema, has_quoted_breaks, read_quoted_csv
 
 CSV_GLOB = "*.[cC][sS][vV]"
 TABLE_PREFIX = "RAW_"
+REJECTS_SUFFIX = "_REJECTS"
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Audit of one load: rows written and rows now in the table."""
+    """Audit of one load: rows written, rows now in the table, and records kept apart for their number of fields."""
 
     table: str
     files: int
     rows_loaded: int
     rows_total: int
+    rows_rejected: int = 0
 
 
 def raw_table_name(file_name: str, prefix: str = TABLE_PREFIX) -> str:
@@ -62,18 +64,23 @@ def standardize_columns(df: DataFrame) -> DataFrame:
 
 
 def read_landing(
-    spark: SparkSession, paths: list[str], loaded_at: dt.datetime, multi_line: bool = False
+    spark: SparkSession, paths: list[str], loaded_at: dt.datetime, multi_line: bool | None = None
 ) -> DataFrame:
-    """Rows of CSV files with a header, all columns text, plus ``_LOADED_AT`` and ``_SOURCE_FILE``.
+    """Rows of CSV files with a header, all columns text, plus ``_REJECTED``, ``_LOADED_AT`` and ``_SOURCE_FILE``.
 
-    Quoted fields may hold commas and doubled quotes; line breaks inside quotes need
-    ``multi_line``, which costs a shuffle, so ask for it only where a table has such text.
+    Quoted fields may hold commas, doubled quotes and line breaks. Line breaks need another reading (``multi_line``), which costs
+    a shuffle; unless told, the files are looked through for them. ``_REJECTED`` is the text of a record that has
+    more or fewer fields than the header, and NULL for all others.
     """
+    if multi_line is None:
+        multi_line = has_quoted_breaks(spark, paths)
     if multi_line:
         read, path = read_quoted_csv(spark, paths), F.col("_SOURCE_PATH")
     else:
+        columns = spark.read.options(**CSV_OPTIONS).option("header", True).csv(paths[0]).columns
         # headers that disagree between the files of a table are an error, not shifted columns
-        read = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", False).csv(paths)
+        reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", False)
+        read = reader.option("columnNameOfCorruptRecord", REJECTED).schema(csv_schema(columns)).csv(paths)
         path = F.col("_metadata.file_path")
     # Spark gives paths percent-encoded, with a plus sign left as it is
     file_name = F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
@@ -82,20 +89,31 @@ def read_landing(
 
 
 def append_audited(df: DataFrame, table: str, files: int = 1) -> LoadResult:
-    """Append to ``table`` (created if missing) and count on the way."""
+    """Append to ``table`` (created if missing) and count on the way.
+
+    Rejected records, if there are any, are appended to a table of their own, with the load metadata.
+    """
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").saveAsTable(table)
-    return LoadResult(table, files, counted.get["rows"], df.sparkSession.table(table).count())
+    rejected = F.col(REJECTED).isNotNull()
+    seen = df.observe(counted, F.count_if(~rejected).alias("rows"), F.count_if(rejected).alias("rejected"))
+    seen.where(~rejected).drop(REJECTED).write.mode("append").saveAsTable(table)
+    if counted.get["rejected"]:
+        beside = f"{table.removesuffix('`')}{REJECTS_SUFFIX}" + "`" * table.endswith("`")
+        fields = [c for c in df.columns if c not in (REJECTED, "_LOADED_AT", "_SOURCE_FILE")]
+        # Spark reads the text of a record only together with its fields
+        parsed = F.to_json(F.struct(*(F.col(f"`{c}`") for c in fields))).alias("parsed")
+        kept_apart = df.where(rejected).select(F.col(REJECTED).alias("record"), parsed, "_LOADED_AT", "_SOURCE_FILE")
+        kept_apart.write.mode("append").saveAsTable(beside)
+    return LoadResult(table, files, counted.get["rows"], df.sparkSession.table(table).count(), counted.get["rejected"])
 
 
 def ingest(
     spark: SparkSession,
     directory: str,
     qualify: Callable[[str], str] = lambda table: table,
-    multi_line: Collection[str] = (),
     loaded_at: dt.datetime | None = None,
 ) -> list[LoadResult]:
-    """Append every landing file to its table; ``multi_line`` names the tables that need it.
+    """Append every landing file to its table.
 
     Nothing remembers earlier loads: a second run appends the same rows again, which the
     deduplication of the silver tables absorbs.
@@ -103,6 +121,6 @@ def ingest(
     results = []
     for table, paths in landing_files(spark, directory).items():
         moment = loaded_at or dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        rows = read_landing(spark, paths, moment, multi_line=table in multi_line)
+        rows = read_landing(spark, paths, moment)
         results.append(append_audited(rows, qualify(table), len(paths)))
     return results

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +59,20 @@ def stamped(df: DataFrame, with_zone: bool = False) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp() if with_zone else F.localtimestamp())
 
 
-def rebuild_table(df: DataFrame, name: str) -> None:
-    """Full rebuild of a stored table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def rebuild_table(df: DataFrame, name: str, sort_by: Sequence[str] = ()) -> None:
+    """Full rebuild of a stored table: written beside it, then put in its place.
+
+    A rebuild that fails leaves the table as it was. With ``sort_by`` the rows are dealt by ranges of those columns and
+    sorted in the files, whose statistics then let a filter on them skip files.
+    """
+    spark = df.sparkSession
+    beside = f"{name.removesuffix('`')}__rebuild`" if name.endswith("`") else f"{name}__rebuild"
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    df.write.saveAsTable(beside)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
 
 
 def replace_view(spark: SparkSession, name: str, sql: str) -> None:

@@ -38,8 +38,8 @@ def test_pad_zip_pads_and_cuts(apply):
 
 
 def test_to_int_rounds_and_never_fails(apply):
-    values = ["1", "1.0", "1.5", "2.5", " 3 ", "abc", "", "99999999999", None]
-    assert apply(numbers.to_int, values) == [1, 1, 2, 3, 3, None, None, None, None]
+    values = ["1", "1.0", "1.5", "2.5", " 3 ", "abc", "", "99999999999", None, "1.49996", "0.99996"]
+    assert apply(numbers.to_int, values) == [1, 1, 2, 3, 3, None, None, None, None, 1, 1]
 
 
 def test_to_decimal_out_of_range_is_null(apply):
@@ -82,6 +82,16 @@ def test_parse_ts_accepts_one_digit_parts_only_in_its_own_format(apply):
     assert apply(times.parse_ts_or_iso, values) == [first, second, None, second, None, None]
 
 
+def test_times_do_not_depend_on_the_zone_of_the_session(spark, apply):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        # the clock skipped this hour there
+        assert apply(times.parse_ts, ["10/15/2017 0:30"]) == [dt.datetime(2017, 10, 15, 0, 30)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_day_and_second_diff_count_boundaries(spark):
     rows = [(dt.datetime(2024, 1, 1, 23, 59), dt.datetime(2024, 1, 2, 0, 1))]
     df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")

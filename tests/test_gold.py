@@ -20,26 +20,24 @@ def geolocation(spark):
     )
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10])
-def test_dim_customers_keeps_one_order_id_per_person(texts, geolocation, broadcast_rows):
+def test_dim_customers_keeps_one_order_id_per_person(texts, geolocation):
     customers = texts(
         "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
         [("c2", "u1", "01046", "a", "SP"), ("c1", "u1", "01046", "b", "SP"), ("c3", "u2", "9", "c", "ZZ")],
     )
-    dim = gold.dim_customers(customers, geolocation, broadcast_rows=broadcast_rows)
+    dim = gold.dim_customers(customers, geolocation)
     assert sorted(map(tuple, dim.collect())) == [
         ("u1", "c1", "01046", "b", "SP", "Southeast", -23.5, -46.6),
         ("u2", "c3", "9", "c", "ZZ", "Unknown", None, None),
     ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10])
-def test_dim_sellers(texts, geolocation, broadcast_rows):
+def test_dim_sellers(texts, geolocation):
     sellers = texts(
         "seller_id seller_zip_code_prefix seller_state seller_city",
         [("s1", "01046", "RS", "a"), ("s2", None, None, "b")],
     )
-    dim = gold.dim_sellers(sellers, geolocation, broadcast_rows=broadcast_rows)
+    dim = gold.dim_sellers(sellers, geolocation)
     assert sorted(map(tuple, dim.collect())) == [
         ("s1", "01046", "a", "RS", -23.5, -46.6, "South"),
         ("s2", None, "b", None, None, None, "Unknown"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from martwright.plans import monitoring, refresh, semantic
-from martwright.sources.tables import Layout, route_schema
+from martwright.sources.tables import Layout, rebuild_table, route_schema
 
 DATA = "/root/testdata/sf0.001"
 FILES = {
@@ -134,3 +134,35 @@ def test_a_failing_layer_is_logged_and_stops_the_refresh(spark):
     assert run["name"] == "silver" and "RAW_CUSTOMERS" in run["error_message"]
     (line,) = monitoring.recent_logs(spark.table(layout.name("log", refresh.EVENT_LOG))).collect()
     assert line["severity"] == "ERROR"
+
+
+def test_a_failing_rebuild_keeps_the_table(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS rebuild_test")
+    name = "`rebuild_test`.`t`"
+    for n in (3, 5):
+        rebuild_table(spark.range(n).toDF("id"), name)
+    assert spark.table(name).count() == 5
+    failing = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        rebuild_table(failing, name)
+    assert spark.table(name).count() == 5
+    rebuild_table(spark.range(2).toDF("id"), name)
+    assert spark.table(name).count() == 2
+
+
+def test_a_sorted_rebuild_lets_a_filter_skip_files(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS rebuild_test")
+    name = "`rebuild_test`.`days`"
+    # one day holds a third of the rows
+    day = F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.col("id") % 100)
+    days = spark.range(6000).select(F.date_add(F.lit(dt.date(2020, 1, 1)), day.cast("int")).alias("purchase_date"), "id")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")  # the rows here would fit one file
+    try:
+        rebuild_table(days.repartition(6), name, sort_by=("purchase_date", "id"))
+    finally:
+        spark.conf.unset(setting)
+    files = spark.table(name).groupBy(F.input_file_name()).agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"), F.count("*").alias("n")).collect()
+    one = dt.date(2020, 1, 11)
+    assert len(files) > 1 and sum(f["a"] <= one <= f["b"] for f in files) == 1
+    assert max(f["n"] for f in files) < 2 * 6000 / len(files)

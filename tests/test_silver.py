@@ -296,3 +296,47 @@ def test_sellers(texts):
         ("s1", "01046", "RJ", "rio de janeiro"),
         ("s6", "12345", "SP", "x"),
     ]
+
+
+def test_money_is_neither_cut_nor_rounded(texts):
+    item = ("o1", "1", "p", "s", "9/13/2017 8:59")
+    raw = texts(
+        "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+        [(*item, "150000000.00", "12.345"), ("o2", *item[1:], "x", "0.1")],
+    )
+    found = {r["order_id"]: (r["price"], r["freight_value"]) for r in silver.silver_order_items(raw).collect()}
+    assert found == {"o1": (Decimal("150000000"), Decimal("12.345")), "o2": (None, Decimal("0.1"))}
+    payments = texts(
+        "order_id payment_sequential payment_type payment_installments payment_value",
+        [(f"o{i}", "1", "pix", "1", v) for i, v in enumerate(["150000000.00", "150000000.005", "149999999.99"])],
+    )
+    paid = [r["payment_value"] for r in silver.silver_payments(payments).orderBy("order_id").collect()]
+    assert paid == [Decimal("150000000.00"), Decimal("150000000.01"), Decimal("149999999.99")]
+
+
+def test_scores_are_compared_before_they_are_rounded(texts):
+    raw = texts(
+        "review_id order_id review_score review_comment_title review_comment_message review_creation_date review_answer_timestamp",
+        [(s, "o", s, None, None, "1/2/2017 3:04", None) for s in ("5.00004", "0.99996", "1.49996", "5", "1")],
+    )
+    found = {r["review_id"]: r["review_score"] for r in silver.silver_reviews(raw).collect()}
+    assert found == {"1.49996": 1, "5": 5, "1": 1}
+
+
+def test_an_incomplete_order_row_gives_way_to_a_complete_one(texts):
+    complete = ("o1", "c1", "d", *["1/2/2017 3:04"] * 5)
+    broken = ("o1", "c2", "d", "1/9/2017 3:04", "no date", *["1/9/2017 3:04"] * 3)
+    columns = "order_id customer_id order_status " + " ".join(silver.ORDER_TIMES)
+    found = silver.deduplicated_orders(texts(columns, [complete, broken, ("o2", *broken[1:])])).collect()
+    assert [(r["order_id"], r["customer_id"]) for r in found] == [("o1", "c1")]
+
+
+def test_every_text_is_parsed_once(spark, plan_of, tmp_path):
+    columns = ["order_id", "customer_id", "order_status", *silver.ORDER_TIMES]
+    spark.createDataFrame([("o",) * len(columns)], columns).write.parquet(str(tmp_path / "orders"))
+    plan = plan_of(silver.deduplicated_orders(spark.read.parquet(str(tmp_path / "orders"))))
+    assert plan.count("regexp_replace(") == 5 and "isnotnull(order_approved_at" in plan
+    columns = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"]
+    spark.createDataFrame([("o",) * len(columns)], columns).write.parquet(str(tmp_path / "items"))
+    plan = plan_of(silver.silver_order_items(spark.read.parquet(str(tmp_path / "items"))))
+    assert plan.count("cast(order_item_id") == 2  # the plain and the decimal way of one conversion
