@@ -43,4 +43,49 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM normal WINDOW g AS (PARTITION BY t)
 """
 
-ORACLES = {"op5_winnowing": _CONTAMINATION, "op6_streaming_dedup": _EXACT}
+# words stand between ASCII white space, here and in the next statement
+_REPEATED = """
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), starts AS (
+    SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM split WHERE len(words) >= 35
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS w FROM starts
+), often AS (
+    SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM windows JOIN often USING (w)
+), placed AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+    FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+_NEAR = f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), starts AS (
+    SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM split WHERE len(words) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS s FROM starts
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+    FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY x, y
+), links AS (
+    SELECT x, y FROM shared JOIN sizes AS a ON a.doc_id = x JOIN sizes AS b ON b.doc_id = y
+    WHERE 100 * k >= 90 * (a.n + b.n - k)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, y FROM reached JOIN links ON b = x
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM documents JOIN reached ON a = doc_id LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+ORACLES = {"op1_phrase_automata": _REPEATED, "op2_divide_skip": _NEAR, "op5_winnowing": _CONTAMINATION, "op6_streaming_dedup": _EXACT}
