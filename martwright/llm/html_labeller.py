@@ -143,14 +143,15 @@ def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def fit(pages: list[list[Block]], rounds: int = 6, hidden: int = HIDDEN) -> BiLstm:
-    """Network that learned the pages and their variants; the same pages in the same order give the same one."""
+def fit(pages: list[list[Block]], steps: int = 250, hidden: int = HIDDEN) -> BiLstm:
+    """Network that learned the pages and their variants, in at least so many steps; the same pages in the same order give the same one."""
     random = np.random.default_rng(5)
     net, vectors = BiLstm(_INPUTS, hidden), Vectors()
     pages = [p for p in pages if p]
     pool = [b.text for p in pages for b in p]
     adam = Adam(net)
-    for _ in range(rounds):
+    per_round = -(-2 * len(pages) // 32)
+    for _ in range(-(-steps // per_round) if pages else 0):
         examples = []
         for blocks in pages:
             plain = [(b, float(marked_main(b.path))) for b in blocks]

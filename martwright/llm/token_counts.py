@@ -53,8 +53,8 @@ def token_counts(
     missing = rows.join(cached, "digest", "left_anti")
     chosen = missing.groupBy("digest").agg(F.min(F.struct(*KEY)).alias("first"))
     chosen = chosen.select("digest", *(F.coalesce(F.col("first")[k], F.lit(0)).alias(k) for k in KEY))
-    # rows that repeat have one key, of which one is enough
-    encoded = texts.join(chosen, KEY).mapInArrow(_counts(tokenizer), "digest string, n_tokens long")
+    # rows that repeat have one key
+    encoded = texts.join(chosen, KEY).dropDuplicates(KEY).mapInArrow(_counts(tokenizer), "digest string, n_tokens long")
     encoded.select(F.lit(own_version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
 
     stored = spark.read.schema(_CACHE).parquet(cache_path).where(F.col("tokenizer") == own_version)

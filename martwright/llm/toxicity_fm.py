@@ -30,6 +30,8 @@ FACTORS = 4
 # Labelled rows of each class that the model is fitted on, in expectation.
 SAMPLE_ROWS = 6000
 _BEGINNING = 4
+# Gain in log likelihood that a term must bring: about that of a test at 1 in 70.
+_LEAST_GAIN = 3.0
 _WORD = re.compile(r"\w+")
 
 
@@ -111,7 +113,7 @@ def _interactions(weights, factors, row, places, n) -> tuple[np.ndarray, np.ndar
 
 
 def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[int, int]:
-    """The terms whose presence says most about the label (likelihood ratio), in at least two rows."""
+    """The terms whose presence says most about the label, by likelihood ratio; those below ``_LEAST_GAIN`` are left to chance."""
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     values = np.array([t for r in rows for t in r], np.int64)
     both = np.bincount(values, minlength=1).astype(float)
@@ -126,7 +128,7 @@ def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[i
         share = positive / total
         gain = part(hits, both * share) + part(both - hits, both * (1 - share))
         gain += part(rest_hits, rest * share) + part(rest - rest_hits, rest * (1 - share))
-    usable = np.flatnonzero((both >= 2) & (gain > 0))
+    usable = np.flatnonzero(gain > _LEAST_GAIN)
     best = usable[np.lexsort((usable, -gain[usable]))][:most]
     return {int(t): i for i, t in enumerate(best)}
 

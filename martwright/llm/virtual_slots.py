@@ -51,11 +51,12 @@ def first_map(sizes: Sizes, shards: int = SHARDS, slots: int = SLOTS) -> dict[in
     return out
 
 
-def rebalanced(old: dict[int, int], sizes: Sizes, shards: int) -> dict[int, int]:
+def rebalanced(old: dict[int, int], sizes: Sizes, shards: int, tolerance: float = 0.01) -> dict[int, int]:
     """``old`` edited for ``shards`` shards and the sizes of today.
 
-    Slots of shards that no longer exist move, and then, from the largest shard to the smallest, one slot at a
-    time while a move lessens the larger of the two; every other slot stays where it is.
+    Slots of shards that no longer exist move, and then one slot at a time to the smallest shard, from the largest that is larger
+    by more than ``tolerance`` of the mean and has a slot whose move lessens the larger of the two. Every other
+    slot stays where it is.
     """
     size = {slot: sizes.get(slot, (0, 0))[1] for slot in old}
     out = dict(old)
@@ -75,19 +76,26 @@ def rebalanced(old: dict[int, int], sizes: Sizes, shards: int) -> dict[int, int]
 
     for slot in sorted(homeless, key=lambda s: (-size[s], s)):
         move(slot, min(range(shards), key=lambda k: (load[k], k)))
-    for _ in range(len(old)):
-        most, least = max(range(shards), key=lambda k: (load[k], -k)), min(range(shards), key=lambda k: (load[k], k))
-        gap = load[most] - load[least]
-        fitting = [s for s in held[most] if 0 < size[s] < gap]
-        if not fitting:
-            break
-        # the slot that comes nearest to halving the gap
-        slot = min(fitting, key=lambda s: (abs(gap - 2 * size[s]), s))
-        if max(load[most] - size[slot], load[least] + size[slot]) >= load[most]:
-            break
-        held[most].remove(slot)
-        load[most] -= size[slot]
-        move(slot, least)
+    slack = tolerance * sum(load) / shards
+
+    def one_move() -> bool:
+        least = min(range(shards), key=lambda k: (load[k], k))
+        for donor in sorted(range(shards), key=lambda k: (-load[k], k)):
+            gap = load[donor] - load[least]
+            if gap <= slack:
+                return False
+            fitting = [s for s in held[donor] if 0 < size[s] < gap]
+            if fitting:
+                # the slot that comes nearest to halving the gap
+                slot = min(fitting, key=lambda s: (abs(gap - 2 * size[s]), s))
+                held[donor].remove(slot)
+                load[donor] -= size[slot]
+                move(slot, least)
+                return True
+        return False
+
+    while one_move():
+        pass
     return out
 
 

@@ -133,7 +133,10 @@ def test_shards(docs_of, edge_rows, spark):
     sizes = slots.slot_sizes(slots.records(docs_of(rows)))
     edited = slots.rebalanced(old, sizes, 25)
     moved = [s for s in old if old[s] != edited[s]]
-    assert {edited[s] for s in moved} == {24} and len(moved) < len(old) / 12
+    # few slots move, and the new shard gets its share
+    after = [sum(sizes.get(s, (0, 0))[1] for s in old if edited[s] == k) for k in range(25)]
+    assert 24 in {edited[s] for s in moved} and len(moved) < len(old) / 12
+    assert sorted(after)[-2] - min(after) <= 0.02 * max(after)
     slots.save_map(spark, path, 1, edited)
     assert slots.load_map(spark, path) == edited and slots.load_map(spark, path, 0) == old
     again = {(r.doc_id, r.text_crc32): (r.virtual_slot, r.shard) for r in slots.shard_documents(docs_of(rows), path, version=1).collect()}
@@ -262,4 +265,4 @@ def test_main_text(spark):
 
 def test_network_is_the_same_each_time():
     pages = [leaf_blocks(page(i)[0]) for i in range(6)]
-    assert fit(pages, rounds=1).to_bytes() == fit(pages, rounds=1).to_bytes()
+    assert fit(pages, steps=3).to_bytes() == fit(pages, steps=3).to_bytes()
