@@ -13,8 +13,9 @@ connected components. In steps that lose no link:
    is a query whose short lists are merged and whose long lists are probed by binary search, where only sets found often enough in
    the short lists are probed (DivideSkip). Overlaps are exact, and so are the links.
 
-Candidate components with too many shingles for a task are first compared with one of their sets. What links to that one
-is connected already; the others are searched for in blocks of the component.
+Groups with too many classes for a task are one candidate component as they are. Candidate components with too many
+shingles for a task are first compared with one of their sets. What links to that one is connected already; the others are
+searched for in blocks of the component.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ PERCENT = 90
 FREQUENT = 0.001
 # Shingles of the sets that one task indexes at a time.
 SHARD_SHINGLES = 2_000_000
+# Classes with one shingle in their prefixes that one task compares; beyond that, all of them are one candidate component.
+GROUP_ROWS = 50_000
 # Cost of a probe against that of a merged entry, as in the rule that chooses how many lists count as long.
 _MU = 0.01
 
@@ -285,6 +288,15 @@ def _searched(sets: DataFrame, percent: int) -> DataFrame:
     return groups.mapInArrow(_links(percent), _EDGES)
 
 
+def _one_component_each(members: DataFrame) -> DataFrame:
+    """Edges that put all members of a shingle's group into one candidate component, without comparing them."""
+    members = store(members.select("token", *KEY), "crowded-groups")
+    firsts = store(members.groupBy("token").agg(F.min(F.struct(*KEY)).alias("first")), "firsts")
+    return members.join(firsts, "token").select(
+        F.col("first._id").alias("a_id"), F.col("first._h").alias("a_h"), F.col("_id").alias("b_id"), F.col("_h").alias("b_h")
+    )
+
+
 def _large_groups(sets: DataFrame, sizes: DataFrame, percent: int, shard: int) -> DataFrame:
     """Links in groups that are too large for a task."""
     group = ["group_id", "group_h"]
@@ -309,6 +321,7 @@ def near_duplicates(
     size: int = SHINGLE,
     percent: int = PERCENT,
     frequent: float = FREQUENT,
+    group_rows: int = GROUP_ROWS,
     shard_shingles: int = SHARD_SHINGLES,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, the smallest id reachable by links.
@@ -338,9 +351,13 @@ def near_duplicates(
     ones = store(sets.join(stand, KEY).select(*KEY, "n", "prefix", "buckets").dropDuplicates(KEY), "classes")
 
     tokens = ones.select(F.explode("prefix").alias("token"), *KEY)
-    shared = tokens.groupBy("token").count().where("count > 1").select("token")
-    gathered = tokens.join(shared, "token").join(ones.select(*KEY, "n", "buckets"), KEY)
-    near = gathered.repartition("token").sortWithinPartitions("token", *KEY).mapInArrow(_candidates(percent), _EDGES).distinct()
+    shared = store(tokens.groupBy("token").count().where("count > 1"), "shared-shingles")
+    gathered = tokens.join(shared.where(F.col("count") <= group_rows).select("token"), "token").join(ones.select(*KEY, "n", "buckets"), KEY)
+    near = gathered.repartition("token").sortWithinPartitions("token", *KEY).mapInArrow(_candidates(percent), _EDGES)
+    crowded = shared.where(F.col("count") > group_rows).select("token")
+    if not crowded.isEmpty():
+        near = near.unionByName(_one_component_each(tokens.join(crowded, "token")))
+    near = near.distinct()
 
     def nodes(edges: DataFrame) -> DataFrame:
         a, b = (F.struct(F.col(f"{x}_id").alias("_id"), F.col(f"{x}_h").alias("_h")).alias(x) for x in "ab")

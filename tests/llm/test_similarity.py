@@ -60,7 +60,7 @@ def variants(n: int, seed: int, first_id: int, edits: int = 7) -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"shard_shingles": 800}, {"frequent": 0.9}, {"size": 5, "percent": 80}, {"shard_shingles": 300, "percent": 95}])
+@pytest.mark.parametrize("limits", [{}, {"shard_shingles": 800}, {"frequent": 0.9}, {"size": 5, "percent": 80}, {"shard_shingles": 300, "percent": 95}, {"group_rows": 10, "shard_shingles": 2000}])
 def test_components(docs_of, edge_rows, limits):
     rows = edge_rows + variants(120, 1, 1000) + variants(40, 2, 2000, 20)
     found = near_duplicates(docs_of(rows), **limits)
