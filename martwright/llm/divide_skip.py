@@ -143,6 +143,11 @@ def _may_link(n: int, own: np.ndarray, sizes: np.ndarray, table: np.ndarray, per
 
 def _forest(sizes: np.ndarray, buckets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """Edges of a spanning forest of the sets that may link."""
+    if len(sizes) == 2:  # most groups, without the tables
+        small, large = sorted(sizes.tolist())
+        if 100 * small >= percent * large and _may_link(int(sizes[0]), buckets[0], sizes[1:], buckets[1][None].astype(np.int32), percent)[0]:
+            yield 0, 1
+        return
     widths = np.array([len(b) for b in buckets])
     kinds = [(where, np.array([buckets[i] for i in where], np.int32)) for where in (np.flatnonzero(widths == w) for w in np.unique(widths))]
     left = np.ones(len(sizes), bool)
