@@ -82,9 +82,7 @@ class Model:
     factors: np.ndarray
 
     def margins(self, rows: list[list[int]]) -> np.ndarray:
-        counts = np.array([len(r) for r in rows])
-        places = np.array([p for r in rows for p in r], np.int64)
-        row = np.repeat(np.arange(len(rows)), counts)
+        row, places = _flat(rows)
         return self.bias + _interactions(self.weights, self.factors, row, places, len(rows))[0]
 
     def to_bytes(self) -> bytes:
@@ -100,6 +98,12 @@ class Model:
         return Model({int(t): i for i, t in enumerate(hashed)}, float(bias), weights, rest.reshape(n, factors))
 
 
+def _flat(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and value of each value in a list of lists or arrays."""
+    values = np.concatenate([np.empty(0, np.int64), *(np.asarray(r, np.int64) for r in rows)])
+    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), values
+
+
 def _sum_by(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(row, values[:, k], n) for k in range(values.shape[1])], 1)
 
@@ -114,8 +118,7 @@ def _interactions(weights, factors, row, places, n) -> tuple[np.ndarray, np.ndar
 
 def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[int, int]:
     """The terms whose presence says most about the label, by likelihood ratio; those below ``_LEAST_GAIN`` are left to chance."""
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    values = np.array([t for r in rows for t in r], np.int64)
+    row, values = _flat(rows)
     both = np.bincount(values, minlength=1).astype(float)
     hits = np.bincount(values, labels[row], minlength=len(both))
     total, positive = len(rows), labels.sum()
@@ -136,10 +139,11 @@ def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[i
 def fit(rows: list[list[int]], labels: np.ndarray, most: int = TERMS, factors: int = FACTORS, rounds: int = 150, decay: float = 2e-4) -> Model:
     """Minimise the logistic loss by Adam over all rows; the same rows in the same order give the same model."""
     chosen = choose_terms(rows, labels, most) if len(rows) else {}
-    kept = [[chosen[t] for t in r if t in chosen] for r in rows]
-    n = len(kept)
-    row = np.repeat(np.arange(n), [len(r) for r in kept])
-    places = np.array([p for r in kept for p in r], np.int64)
+    n = len(rows)
+    place = np.full(SPACE, -1)
+    place[np.fromiter(chosen, np.int64, len(chosen))] = np.arange(len(chosen))
+    row, values = _flat(rows)
+    row, places = row[place[values] >= 0], place[values][place[values] >= 0]
     random = np.random.default_rng(7)
     bias, weights = np.zeros(1), np.zeros(len(chosen))
     v = random.normal(0, 0.05, (len(chosen), factors))
@@ -162,8 +166,8 @@ def _trained(most: int, factors: int):
         terms_of, sample = _TermsOf(), []
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("_id", "label", "text"))
-            sample += [(i, label, terms_of.text(text)) for i, label, text in zip(*columns, strict=True)]
-        sample.sort()
+            sample += [(i, label, np.array(terms_of.text(text), np.int32)) for i, label, text in zip(*columns, strict=True)]
+        sample.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
         model = fit([r[2] for r in sample], np.array([r[1] for r in sample], float), most, factors)
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
 
