@@ -22,7 +22,7 @@ BYTE_HASHES = np.array([xxhash.xxh3_64_intdigest(bytes([i])) for i in range(256)
 class WordHashes(dict):
     """Hash of a word; the words seen are kept up to ``most``, then forgotten."""
 
-    most = 500_000
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:

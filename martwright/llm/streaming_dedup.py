@@ -22,7 +22,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 _STATE = {
     _PROVIDER: _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
     # preallocated logs would take more disk than many small stores hold
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }

@@ -53,7 +53,7 @@ def terms(token: str) -> list[int]:
 class _TermsOf(dict):
     """Terms of a token, those in ``chosen`` only where given; tokens seen are kept up to a number."""
 
-    most = 300_000
+    most = 150_000
 
     def __init__(self, chosen: dict[int, int] | None = None):
         super().__init__()
@@ -118,9 +118,10 @@ def _interactions(weights, factors, row, places, n) -> tuple[np.ndarray, np.ndar
 
 def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[int, int]:
     """The terms whose presence says most about the label, by likelihood ratio; those below ``_LEAST_GAIN`` are left to chance."""
-    row, values = _flat(rows)
-    both = np.bincount(values, minlength=1).astype(float)
-    hits = np.bincount(values, labels[row], minlength=len(both))
+    both, hits = np.zeros(SPACE), np.zeros(SPACE)
+    for own, label in zip(rows, labels, strict=True):
+        both[own] += 1  # a row has each term once
+        hits[own] += label
     total, positive = len(rows), labels.sum()
 
     def part(seen, expected):
@@ -142,8 +143,8 @@ def fit(rows: list[list[int]], labels: np.ndarray, most: int = TERMS, factors: i
     n = len(rows)
     place = np.full(SPACE, -1)
     place[np.fromiter(chosen, np.int64, len(chosen))] = np.arange(len(chosen))
-    row, values = _flat(rows)
-    row, places = row[place[values] >= 0], place[values][place[values] >= 0]
+    kept = [place[np.asarray(r, np.int64)] for r in rows]
+    row, places = _flat([k[k >= 0] for k in kept])
     random = np.random.default_rng(7)
     bias, weights = np.zeros(1), np.zeros(len(chosen))
     v = random.normal(0, 0.05, (len(chosen), factors))
@@ -161,12 +162,22 @@ def fit(rows: list[list[int]], labels: np.ndarray, most: int = TERMS, factors: i
     return Model(chosen, float(bias[0]), weights, v)
 
 
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    terms_of = _TermsOf()
+    for batch in batches:
+        found = [terms_of.text(text) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_id"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))], names=["_id", "label", "terms"]
+        )
+
+
 def _trained(most: int, factors: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms_of, sample = _TermsOf(), []
+        sample = []
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("_id", "label", "text"))
-            sample += [(i, label, np.array(terms_of.text(text), np.int32)) for i, label, text in zip(*columns, strict=True)]
+            # copies, so that no batch is held as a whole
+            rows = [np.array(r.values.to_numpy()) for r in batch.column("terms")]
+            sample += zip(batch.column("_id").to_pylist(), batch.column("label").to_pylist(), rows, strict=True)
         sample.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
         model = fit([r[2] for r in sample], np.array([r[1] for r in sample], float), most, factors)
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
@@ -200,6 +211,8 @@ def train(
     drawn = (F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) / 1_000_003) < share
     sample = store(known.where(drawn), "label-sample")
     sample = keyed(docs, id_column, text_column).join(sample, "_id").select("_id", "label", "text")
+    # a bounded number of rows, written first so that the reading of all documents stays in many tasks
+    sample = store(sample.mapInArrow(_term_rows, "_id long, label int, terms array<int>"), "sample-terms")
     row = sample.coalesce(1).mapInArrow(_trained(most_terms, factors), "model binary").first()
     model = Model.from_bytes(bytes(row[0]), factors) if row else fit([], np.empty(0), most_terms, factors)
     if counts.get(0) and counts.get(1):
