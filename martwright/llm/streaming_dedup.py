@@ -23,6 +23,8 @@ _STATE = {
     _PROVIDER: _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
+    # a store takes an eighth of this at its first write, and an executor can hold many small stores
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
     # preallocated logs would take more disk than many small stores hold
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
