@@ -6,14 +6,18 @@ import html
 import re
 from typing import NamedTuple
 
-# Fixed values of HTML: elements without content, elements within a line, elements whose content is not text, and
-# elements that an element of the same kind closes.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Fixed values of HTML: elements without content (an svg that gets here is one that closed itself), elements within a line,
+# formulas among them, elements whose content is not text, and elements that an element of the same kind closes.
+VOID = frozenset("area base br col embed hr img input link meta param source svg track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup "
-    "time tt u var wbr".split()
+    "time tt u var wbr "
+    "math annotation annotation-xml maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
-RAW = ("script", "style", "template", "noscript", "iframe", "object", "svg", "math", "canvas")
+# of those, the ones that stand apart from what is before them
+_SPACED = frozenset("annotation annotation-xml br mspace mtd mtr".split())
+RAW = ("script", "style", "template", "noscript", "iframe", "object", "svg", "canvas")
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 # an opened block ends an open paragraph
 _ENDS_PARAGRAPH = frozenset(
@@ -21,11 +25,13 @@ _ENDS_PARAGRAPH = frozenset(
     "section table ul".split()
 )
 
+_ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
+# A name ends at white space, a slash or the end of the tag: svg-icon is no svg. Only an svg can close itself.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(RAW)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<(?!svg(?=[\s/]){_ATTRIBUTES}/>)({'|'.join(RAW)})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*>"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""",
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -62,7 +68,7 @@ class _Reader:
         self._parts, self._linked = [], 0
 
     def open(self, tag: str, attributes: str) -> None:
-        if tag == "br":
+        if tag in _SPACED:
             self._parts.append(" ")
             return
         if tag in INLINE:

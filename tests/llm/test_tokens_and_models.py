@@ -226,6 +226,22 @@ def test_leaf_blocks(page, texts):
     assert [b.text for b in leaf_blocks(page)] == texts
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<article><p>one <svg-icon name=x></svg-icon> two</p><p>three</p></article>", ["one", "two", "three"]),
+        ("<template-part><p>a</p></template-part><object-viewer>b</object-viewer><p>c", ["a", "b", "c"]),
+        ("<p>one</p><svg class=i /><p>two</p><svg><title>no</title></svg><p>three", ["one", "two", "three"]),
+        ("<p>a<svg/>b</p><p>c<SVG a='>' b=\"/>\"><text>no</text></SVG>d", ["a", "b", "c", "d"]),
+        ("<p>where <math><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn></math> holds<math/> too</p>", ["where x2=4 holds too"]),
+        ("<math><mtr><mtd>1</mtd><mtd>2</mtd></mtr><annotation>\\frac</annotation></math> end", ["1 2 \\frac end"]),
+        ("<script>no</scripts> no</script x><p>yes<style/>no</style>", ["yes"]),
+    ],
+)
+def test_leaf_blocks_lose_no_text_beside_raw_elements(page, texts):
+    assert [b.text for b in leaf_blocks(page)] == texts
+
+
 def test_paths_and_links():
     blocks = leaf_blocks('<body><div id="main" class="Post-Body x"><h1>t</h1><a href=y>abcd</a>efgh</div></body>')
     assert blocks[0].path == ("body", "div", ".main", ".post", ".body", ".x", "h1")
