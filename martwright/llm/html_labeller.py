@@ -1,6 +1,6 @@
 """Main text of web pages by a recurrent block labeller.
 
-A page is a sequence of leaf blocks. A bidirectional LSTM reads, for each, hashed vectors of its tag path and its words, and
+A page is a sequence of leaf blocks. A bidirectional LSTM reads, for each, hashed vectors of its tag path and all its words, and
 some measures of its text, and labels it as main text or not, with what comes before and after in the page as context.
 
 No table says which blocks are main text, so the network learns from pages that mark it themselves: blocks inside article
@@ -13,7 +13,7 @@ would leave to chance.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,7 @@ def marked_main(path: tuple[str, ...]) -> bool:
 
 
 class _Hashes(dict):
-    """Place and sign of a name in a vector; names seen are kept up to a number."""
+    """Place and sign of a name in a vector, as one number: negative names come ``size`` later. Names seen are kept up to a number."""
 
     most = 200_000
 
@@ -56,13 +56,18 @@ class _Hashes(dict):
         super().__init__()
         self._size = size
 
-    def __missing__(self, name: str) -> tuple[int, float]:
+    def __missing__(self, name: str) -> int:
         if len(self) >= self.most:
             self.clear()
         value = xxhash.xxh32_intdigest(name)
-        found = self[name] = (value % self._size, 1.0 if value >> 31 else -1.0)
+        found = self[name] = value % self._size + (0 if value >> 31 else self._size)
         return found
 
+    def sum(self, names: Iterable[str]) -> np.ndarray:
+        """Sum of the signs of all names, by place."""
+        counts = np.bincount([self[name] for name in names], minlength=2 * self._size)
+        return counts[: self._size] - counts[self._size :]
+
 
 class Vectors:
     """Input vectors of blocks."""
@@ -73,13 +78,12 @@ class Vectors:
     def of(self, blocks: list[Block]) -> np.ndarray:
         out = np.zeros((len(blocks), _INPUTS), np.float32)
         for row, (text, path, linked) in zip(out, blocks, strict=True):
-            for name in path:
-                place, sign = self._names[name]
-                row[place] += sign
+            if path:
+                row[:PATH_SIZE] = self._names.sum(path)
             words = text.lower().split()
-            for word in words[:20]:  # the vector's use of words; the text itself is never cut
-                place, sign = self._words[word]
-                row[PATH_SIZE + place] += sign * 0.2
+            signs = self._words.sum(words)
+            # as long for a long block as for a short one
+            row[PATH_SIZE : PATH_SIZE + WORD_SIZE] = signs / max(1.0, math.sqrt(signs @ signs))
             ends = text[-1] in ".!?…\"”»"
             row[PATH_SIZE + WORD_SIZE :] = (math.log1p(len(text)) / 5, math.log1p(len(words)) / 4, linked, ends, text.count(",") / (len(words) + 1))
         return out

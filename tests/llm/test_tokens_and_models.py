@@ -17,8 +17,8 @@ from martwright.llm import virtual_slots as slots
 from martwright.llm.bilstm import BiLstm
 from martwright.llm.bin_slack import fullest, pack, pack_documents
 from martwright.llm.encoding import Encoder
-from martwright.llm.html_blocks import leaf_blocks
-from martwright.llm.html_labeller import fit, main_text, train as train_labeller
+from martwright.llm.html_blocks import Block, leaf_blocks
+from martwright.llm.html_labeller import PATH_SIZE, WORD_SIZE, Vectors, fit, main_text, train as train_labeller
 from martwright.llm.storage import new_folder
 from martwright.llm.token_counts import token_counts
 from martwright.llm.toxicity_fm import Model, toxicity, train
@@ -248,6 +248,16 @@ def test_paths_and_links():
     assert blocks[1].text == "abcdefgh" and blocks[1].linked == 0.5
 
 
+def test_every_word_enters_a_block_vector():
+    opening = " ".join(f"w{i}" for i in range(25))
+    texts = [f"{opening} {a} {b} end" for a, b in (("reply", "login"), ("story", "river"))]
+    one, two = Vectors().of([Block(text, ("p",), 0.0) for text in texts])[:, PATH_SIZE : PATH_SIZE + WORD_SIZE]
+    assert (one != two).any()
+    again, long_, same = Vectors().of([Block(t, (), 0.0) for t in (texts[0], f"{texts[0]} " * 1000, "junk " * 100_000)])[:, PATH_SIZE : PATH_SIZE + WORD_SIZE]
+    assert np.allclose(one, again) and np.allclose(one, long_, atol=1e-5)
+    assert max(np.linalg.norm(v) for v in (one, long_, same)) <= 1.0001
+
+
 def page(i: int) -> tuple[str, str]:
     random_ = random.Random(i)
 
