@@ -13,9 +13,10 @@ connected components. In steps that lose no link:
    is a query whose short lists are merged and whose long lists are probed by binary search, where only sets found often enough in
    the short lists are probed (DivideSkip). Overlaps are exact, and so are the links.
 
-Groups with too many classes for a task are one candidate component as they are. Candidate components with too many
-shingles for a task are first compared with one of their sets. What links to that one is connected already; the others are
-searched for in blocks of the component.
+Groups with too many classes for a task are cut into blocks, and a task tests a pair of blocks. Candidate components with too
+many shingles or sets for a task are first compared with one of their sets. What links to that one is connected already; the
+others are searched for in pairs of blocks of the component: with each other, and with those connected already. A task holds two
+blocks, about ``shard_shingles`` and ``group_rows`` at most; the number of pairs grows with the square of what doesn't link.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.components import components
@@ -37,9 +38,9 @@ PERCENT = 90
 # Share of the documents from which a shingle counts as frequent. It decides the order of shingles only; there are at most
 # (mean prefix length / share) such shingles, whatever the data.
 FREQUENT = 0.001
-# Shingles of the sets that one task indexes at a time.
+# Shingles of the sets that one task indexes at a time, in expectation.
 SHARD_SHINGLES = 2_000_000
-# Classes with one shingle in their prefixes that one task compares; beyond that, all of them are one candidate component.
+# Classes with one shingle in their prefixes that one task compares, and sets that it indexes; in expectation beyond one block.
 GROUP_ROWS = 50_000
 # Cost of a probe against that of a merged entry, as in the rule that chooses how many lists count as long.
 _MU = 0.01
@@ -72,7 +73,7 @@ def _buckets(tokens: np.ndarray) -> np.ndarray:
 
 
 def _frequent_rows(size: int, percent: int):
-    """Shingles that are in several prefixes of a batch, with how many; and the rows of the batch, at a NULL shingle."""
+    """Shingles in the prefixes of a batch, with how many; and the rows of the batch, at a NULL shingle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -82,12 +83,9 @@ def _frequent_rows(size: int, percent: int):
                 tokens = shingles(text, hashes, size)
                 prefixes.append(tokens[: _prefix_length(len(tokens), percent)])
             values, counts = np.unique(np.concatenate(prefixes), return_counts=True)
-            often = counts >= 3
+            none = np.arange(len(values) + 1) == len(values)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*values[often].view(np.int64).tolist(), None], pa.int64()),
-                    pa.array([*counts[often].tolist(), batch.num_rows], pa.int64()),
-                ],
+                [pa.array(np.append(values.view(np.int64), 0), pa.int64(), mask=none), pa.array(np.append(counts, batch.num_rows), pa.int64())],
                 names=["token", "n"],
             )
 
@@ -197,7 +195,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[st
 def _candidates(percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: list[tuple[int, int, int, int]] = []
-        for group in _groups(batches, ["token"], [*KEY, "n", "buckets"]):
+        for group in _groups(batches, ["token", "low", "high"], [*KEY, "n", "buckets"]):
             if len(group) > 1:
                 sizes = np.array([r[2] for r in group])
                 buckets = [np.frombuffer(r[3], np.uint8) for r in group]
@@ -210,8 +208,11 @@ def _candidates(percent: int):
     return rows
 
 
-def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect the sets of each connected component; every pair not connected by them has been searched for."""
+def divide_skip(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect the sets of each connected component; every pair not connected by them has been searched for.
+
+    With ``sides``, those are pairs of sets of different sides only.
+    """
     sizes = np.array([len(s) for s in sets])
     owners = np.repeat(np.arange(len(sets)), sizes)
     tokens = np.concatenate(sets)
@@ -223,6 +224,8 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     for x in np.argsort(sizes, kind="stable"):
         n = int(sizes[x])
         open_ = (component != component[x]) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+        if sides is not None:
+            open_ &= sides != sides[x]
         if not n or not open_.any():
             continue
         at = np.searchsorted(values, sets[x])
@@ -250,8 +253,10 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 def _links(percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["group_id", "group_h", "block"], [*KEY, "tokens"]):
-            found = divide_skip([np.frombuffer(r[2], np.uint64) for r in group], percent)
+        for group in _groups(batches, ["group_id", "group_h", "low", "high"], [*KEY, "tokens", "block", "low", "high"]):
+            # pairs within a block are searched for where it is paired with itself
+            sides = None if group[0][4] == group[0][5] else np.array([r[3] for r in group])
+            found = divide_skip([np.frombuffer(r[2], np.uint64) for r in group], percent, sides)
             if found:
                 yield _edge_batch([(*group[a][:2], *group[b][:2]) for a, b in found])
 
@@ -289,34 +294,54 @@ def _whole_sets(size: int):
 
 
 def _searched(sets: DataFrame, percent: int) -> DataFrame:
-    groups = sets.repartition("group_id", "group_h", "block").sortWithinPartitions("group_id", "group_h", "block", *KEY)
-    return groups.mapInArrow(_links(percent), _EDGES)
+    keys = ["group_id", "group_h", "low", "high"]
+    return sets.repartition(*keys).sortWithinPartitions(*keys, *KEY).mapInArrow(_links(percent), _EDGES)
 
 
-def _one_component_each(members: DataFrame) -> DataFrame:
-    """Edges that put all members of a shingle's group into one candidate component, without comparing them."""
-    members = store(members.select("token", *KEY), "crowded-groups")
-    firsts = store(members.groupBy("token").agg(F.min(F.struct(*KEY)).alias("first")), "firsts")
-    return members.join(firsts, "token").select(
-        F.col("first._id").alias("a_id"), F.col("first._h").alias("a_h"), F.col("_id").alias("b_id"), F.col("_h").alias("b_h")
-    )
+def _in_pairs(rows: DataFrame) -> DataFrame:
+    """Each row once for each pair of blocks, ``low`` and ``high``, that its ``block`` is in.
+
+    The first ``firsts`` of the ``blocks`` are paired with all blocks, the others with the first only.
+    """
+    last = F.when(F.col("block") < F.col("firsts"), F.col("blocks")).otherwise(F.col("firsts")) - 1
+    pairs = rows.where("firsts > 0").withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return pairs.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+
+
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.greatest(blocks, F.lit(1))).cast("int")
+
+
+def _crowded_groups(tokens: DataFrame, crowded: DataFrame, group_rows: int) -> DataFrame:
+    """Members of groups that are too large for a task, in pairs of blocks."""
+    blocks = F.ceil(2 * F.col("count") / group_rows).cast("int")
+    dealt = tokens.join(crowded.select("token", blocks.alias("blocks"), blocks.alias("firsts")), "token")
+    return _in_pairs(dealt.withColumn("block", _block(F.col("blocks")))).select("token", "low", "high", *KEY)
+
+
+def _blocks_of(compared: DataFrame, shard: int, group_rows: int) -> DataFrame:
+    """Sets of large groups in pairs of blocks; none for two sets that link to the one of their group."""
+    group = ["group_id", "group_h"]
+
+    def blocks(which: str) -> Column:
+        chosen = F.expr(which)
+        shingles = F.sum(F.when(chosen, F.octet_length("tokens") / 8).otherwise(0))
+        return F.ceil(F.greatest(2 * shingles / shard, 2 * F.count_if(chosen) / group_rows)).cast("int")
+
+    counts = store(compared.groupBy(*group).agg(blocks("NOT linked").alias("firsts"), blocks("linked").alias("lasts")), "blocks")
+    dealt = compared.join(counts.withColumn("blocks", F.col("firsts") + F.col("lasts")), group)
+    block = F.when(F.col("linked"), F.col("firsts") + _block(F.col("lasts"))).otherwise(_block(F.col("firsts")))
+    return _in_pairs(dealt.withColumn("block", block)).select(*group, "block", "low", "high", *KEY, "tokens")
 
 
-def _large_groups(sets: DataFrame, sizes: DataFrame, percent: int, shard: int) -> DataFrame:
+def _large_groups(sets: DataFrame, percent: int, shard: int, group_rows: int) -> DataFrame:
     """Links in groups that are too large for a task."""
     group = ["group_id", "group_h"]
     ones = sets.where("_id = group_id AND _h = group_h").select(*group, F.col("tokens").alias("one")).dropDuplicates(group)
     schema = "group_id long, group_h long, _id long, _h long, tokens binary, linked boolean"
-    compared = store(sets.join(ones, group).mapInArrow(_to_one(percent), schema), "compared")
+    compared = store(sets.join(ones, group).mapInArrow(_to_one(percent), schema).dropDuplicates([*group, *KEY]), "compared")
     star = compared.where("linked").select(F.col("group_id").alias("a_id"), F.col("group_h").alias("a_h"), F.col("_id").alias("b_id"), F.col("_h").alias("b_h"))
-    blocks = sizes.select(*group, F.ceil(F.col("shingles") / shard).cast("int").alias("blocks"))
-    dealt = compared.join(blocks, group)
-    own = dealt.withColumn("block", F.pmod(F.xxhash64(*KEY), F.col("blocks")).cast("int"))
-    # a set that does not link to the one is a query against every block
-    queries = dealt.where("NOT linked").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = [*group, "block", *KEY, "tokens"]
-    both = own.select(*columns).unionByName(queries.select(*columns)).dropDuplicates([*group, "block", *KEY])
-    return star.unionByName(_searched(both, percent))
+    return star.unionByName(_searched(_blocks_of(compared, shard, group_rows), percent))
 
 
 def near_duplicates(
@@ -340,7 +365,7 @@ def near_duplicates(
     small_batches(spark)
     texts = keyed(docs, id_column, text_column)
     counted = texts.select("text").mapInArrow(_frequent_rows(size, percent), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counted = store(counted, "shingle-counts")
+    counted = store(counted.where("token IS NULL OR n > 100"), "shingle-counts")
     rows = counted.where("token IS NULL").agg(F.sum("n")).first()[0] or 0
     often = [r["token"] for r in counted.where(F.col("token").isNotNull() & (F.col("n") > max(100, frequent * rows))).collect()]
     last = np.sort(np.array(often, np.int64).view(np.uint64))
@@ -357,12 +382,14 @@ def near_duplicates(
 
     tokens = ones.select(F.explode("prefix").alias("token"), *KEY)
     shared = store(tokens.groupBy("token").count().where("count > 1"), "shared-shingles")
-    gathered = tokens.join(shared.where(F.col("count") <= group_rows).select("token"), "token").join(ones.select(*KEY, "n", "buckets"), KEY)
-    near = gathered.repartition("token").sortWithinPartitions("token", *KEY).mapInArrow(_candidates(percent), _EDGES)
-    crowded = shared.where(F.col("count") > group_rows).select("token")
+    members_of = tokens.join(shared.where(F.col("count") <= group_rows).select("token"), "token")
+    members_of = members_of.select("token", F.lit(0).alias("low"), F.lit(0).alias("high"), *KEY)
+    crowded = shared.where(F.col("count") > group_rows)
     if not crowded.isEmpty():
-        near = near.unionByName(_one_component_each(tokens.join(crowded, "token")))
-    near = near.distinct()
+        members_of = members_of.unionByName(_crowded_groups(tokens, crowded, group_rows))
+    gathered = members_of.join(ones.select(*KEY, "n", "buckets"), KEY)
+    place = ["token", "low", "high"]
+    near = gathered.repartition(*place).sortWithinPartitions(*place, *KEY).mapInArrow(_candidates(percent), _EDGES).distinct()
 
     def nodes(edges: DataFrame) -> DataFrame:
         a, b = (F.struct(F.col(f"{x}_id").alias("_id"), F.col(f"{x}_h").alias("_h")).alias(x) for x in "ab")
@@ -373,11 +400,11 @@ def near_duplicates(
     whole = texts.join(groups.hint("merge"), KEY)
     whole = store(whole.mapInArrow(_whole_sets(size), "group_id long, group_h long, _id long, _h long, tokens binary"), "whole-sets")
     group = ["group_id", "group_h"]
-    weights = whole.groupBy(*group).agg((F.sum(F.octet_length("tokens")) / 8).alias("shingles"))
-    large = store(weights.where(F.col("shingles") > shard_shingles), "large-groups")
-    links = _searched(whole.join(large, group, "left_anti").withColumn("block", F.lit(0)), percent)
+    weights = whole.groupBy(*group).agg((F.sum(F.octet_length("tokens")) / 8).alias("shingles"), F.count("*").alias("sets"))
+    large = store(weights.where((F.col("shingles") > shard_shingles) | (F.col("sets") > group_rows)), "large-groups")
+    links = _searched(whole.join(large, group, "left_anti").withColumns({c: F.lit(0) for c in ("block", "low", "high")}), percent)
     if not large.isEmpty():
-        links = links.unionByName(_large_groups(whole.join(large.select(*group), group, "left_semi"), large, percent, shard_shingles))
+        links = links.unionByName(_large_groups(whole.join(large.select(*group), group, "left_semi"), percent, shard_shingles, group_rows))
 
     found = nodes(links).select(F.col("node").alias("stands"), F.col("component._id").alias("component_id"))
     component = F.when(F.col("n") == 0, F.col("_id")).otherwise(F.coalesce("component_id", "stands._id"))

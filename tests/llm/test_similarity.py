@@ -7,10 +7,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martwright.llm.components import components
-from martwright.llm.divide_skip import divide_skip, near_duplicates
+from martwright.llm.divide_skip import _blocks_of, _crowded_groups, _frequent_rows, divide_skip, near_duplicates
 from martwright.llm.streaming_dedup import exact_duplicates, extend_state, read_state
 from martwright.llm.storage import new_folder
 from martwright.llm.winnowing import contamination
@@ -97,6 +98,38 @@ def test_divide_skip_finds_every_link():
                 assert before == label
 
 
+def test_divide_skip_between_sides():
+    sets = [np.arange(20, dtype=np.uint64) + np.uint64(k // 2) for k in range(4)]
+    assert {(min(x), max(x)) for x in divide_skip(sets, 90, np.array([0, 0, 1, 1]))} <= {(0, 2), (0, 3), (1, 2), (1, 3)}
+    assert divide_skip(sets, 90, np.zeros(4)) == []
+
+
+def test_tasks_hold_two_blocks_of_large_groups(spark):
+    """Sets that don't link to the one are dealt too, and each pair that is to be compared meets once."""
+    rows = [(0, 0, i, 0, bytes(80), i % 4 == 0) for i in range(400)]
+    compared = spark.createDataFrame(rows, "group_id long, group_h long, _id long, _h long, tokens binary, linked boolean")
+    dealt: dict[tuple, list] = {}
+    for r in _blocks_of(compared, 800, 10**6).collect():
+        dealt.setdefault((r.low, r.high), []).append((r._id, r.block))
+    assert max(map(len, dealt.values())) <= 160  # of 10 shingles each: 800 expected; 3,000 and more before
+    met = [(a, b) for (low, high), own in dealt.items() for a, s in own for b, t in own if a < b and (low == high or s != t)]
+    assert len(met) == len(set(met))
+    assert set(met) == {(a, b) for a in range(400) for b in range(a + 1, 400) if a % 4 or b % 4}
+
+    tokens = spark.createDataFrame([(t, i, 0) for t in (7, 8) for i in range(300)], "token long, _id long, _h long")
+    pairs: dict[tuple, list] = {}
+    for r in _crowded_groups(tokens, spark.createDataFrame([(7, 300)], "token long, count long"), 60).collect():
+        pairs.setdefault((r.token, r.low, r.high), []).append(r._id)
+    assert {t for t, _, _ in pairs} == {7} and max(map(len, pairs.values())) <= 120
+    assert {(a, b) for own in pairs.values() for a in own for b in own} == {(a, b) for a in range(300) for b in range(300)}
+
+
+def test_rare_shingles_of_a_batch_are_counted():
+    batch = pa.RecordBatch.from_pydict({"text": ["a b c", "a b c", "x y z"]})
+    found = next(_frequent_rows(3, 90)(iter([batch]))).to_pydict()
+    assert found["token"][-1] is None and sorted(found["n"][:-1]) == [1, 2] and found["n"][-1] == 3
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (500, 400)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a int, b int"), "a", "b").collect()}
