@@ -2,7 +2,8 @@
 
 Stages take and return the columns of ``documents``, but for the last, which returns packed pieces.
 ``doc_id`` names a document: what is decided of one row holds for all rows with its id. A document without an id can't
-be looked up and passes the filters (repeated rows aside). NULL texts are empty texts; no rows give no rows.
+be looked up and passes the filters (repeated rows aside). NULL texts are empty texts; no rows give no rows. Without labels
+to learn from (none, NULL or held out ones only, those of other documents, or of one class), the first stage keeps all documents.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from martwright.llm.bin_slack import pack_documents
 from martwright.llm.divide_skip import near_duplicates
 from martwright.llm.storage import new_folder, store
 from martwright.llm.streaming_dedup import exact_duplicates
-from martwright.llm.toxicity_fm import toxicity, train
+from martwright.llm.toxicity_fm import toxic, toxicity, train
 from martwright.llm.winnowing import contamination
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -36,9 +37,9 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below one half; the model learns from the labels of these documents."""
+    """Documents whose score is one half at most; the model learns from the labels of these documents."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity(docs, model).where("score >= 0.5"))
+    return _without(docs, toxicity(docs, model).where(toxic()))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from martwright.llm.phrase_automata import remove_repeated_phrases
 from martwright.llm.storage import new_folder
 from martwright.llm.streaming_dedup import exact_duplicates
 from martwright.llm.token_counts import token_counts
-from martwright.llm.toxicity_fm import held_out, toxicity, train
+from martwright.llm.toxicity_fm import held_out, toxic, toxicity, train
 from martwright.llm.virtual_slots import shard_documents
 from martwright.llm.winnowing import contamination
 
@@ -47,7 +47,7 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scores = toxicity(docs, train(docs, _table(spark, sf_dir, "labels")))
-    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    predicted = toxic().cast("int").alias("predicted")
     return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
 
 

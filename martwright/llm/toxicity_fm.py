@@ -198,8 +198,9 @@ def train(
     """Model of the labelled rows that are not held out.
 
     Ids or labels that are NULL are not used; where an id has several labels, one that says toxic holds. Without labelled
-    rows the model scores every text alike. The bias is that of the classes' shares among all training rows, not those of
-    the sample, which has up to ``sample_rows`` of each class.
+    rows the model scores every text alike, at one half. The bias is that of the classes' shares among all training rows, not those
+    of the sample, which has up to ``sample_rows`` of each class. A model without terms (no labelled rows, those of one class only, or
+    too few) can't tell texts apart, so its score is one half at most, which is not ``toxic``.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -215,12 +216,19 @@ def train(
     sample = store(sample.mapInArrow(_term_rows, "_id long, label int, terms array<int>"), "sample-terms")
     row = sample.coalesce(1).mapInArrow(_trained(most_terms, factors), "model binary").first()
     model = Model.from_bytes(bytes(row[0]), factors) if row else fit([], np.empty(0), most_terms, factors)
-    if counts.get(0) and counts.get(1):
+    if model.terms and counts.get(0) and counts.get(1):
         drawn_of = {k: min(n, sample_rows) for k, n in counts.items()}
         model.bias += float(np.log(counts[1] / counts[0] / (drawn_of[1] / drawn_of[0])))
+    if not model.terms:
+        model.bias = min(model.bias, 0.0)
     return model
 
 
+def toxic(score: str = "score") -> Column:
+    """Whether a score says toxic: above one half, the score of a model that knows nothing."""
+    return F.col(score) > 0.5
+
+
 def _scores(model: Model):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms_of = _TermsOf(model.terms)

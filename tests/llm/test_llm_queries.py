@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 import pytest
 
@@ -75,6 +76,26 @@ def test_stages_take_nulls_repeats_and_no_rows(spark, stage, tmp_path):
     assert function(spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
+LABELS = {
+    "empty": [],
+    "NULL": [(i, 1, None) for i in range(40)],
+    "held out": [(i, 1, i % 2) for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0],
+    "of other documents": [(i, 1, int(i > 1100)) for i in range(1000, 8000)],
+    "toxic": [(i, 1, 1) for i in range(40)],
+}
+
+
+@pytest.mark.parametrize("labels", list(LABELS))
+def test_no_documents_are_toxic_without_labels_to_learn_from(spark, labels, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} of some words", None, None, 1) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(LABELS[labels], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+    found = llm.queries()["op4_toxicity_fm"](spark, str(tmp_path)).collect()
+    assert len(found) == 40 and {r.predicted for r in found} == {0}
+
+
 def test_pipeline_equals_its_stages_by_hand(spark):
     """Each filter decided by a plain rule over the rows that the stage before kept."""
     packed = corpus_pipeline.run(spark, DATA)
