@@ -15,6 +15,10 @@ from martwright.llm.html_labeller import train as train_labeller
 from martwright.llm.longest_previous_factor import remove_repeated_bytes
 from martwright.llm.oracles import ORACLES
 from martwright.llm.phrase_automata import remove_repeated_phrases
+from martwright.llm.prefix_trie import prefix_trie
+from martwright.llm.quality_mil import quality
+from martwright.llm.quality_mil import train as train_quality
+from martwright.llm.spelling_variants import spelling_variants
 from martwright.llm.storage import new_folder
 from martwright.llm.streaming_dedup import exact_duplicates
 from martwright.llm.token_counts import token_counts
@@ -23,6 +27,9 @@ from martwright.llm.virtual_slots import shard_documents
 from martwright.llm.winnowing import contamination
 
 TOKEN_LIMIT = 512
+QUALITY_LIMIT = 0.3
+# One run in so many is misspelled, so that there are variants to find.
+TYPO_EVERY = 97
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +95,21 @@ def op10_longest_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scores = quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
+def op12_prefix_suffix_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), typo_every=TYPO_EVERY)
+
+
+def op13_sequence_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations")).nodes
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -107,6 +129,9 @@ QUERIES = (
     op8_html_labeller,
     op9_token_cache,
     op10_longest_previous_factor,
+    op11_attention_mil,
+    op12_prefix_suffix_tiles,
+    op13_sequence_collapse,
     pipeline,
 )
 
