@@ -32,13 +32,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def dealt(name: str, df: DataFrame) -> DataFrame:
+    """The large tables over all cores; a shuffle of a small one would cost more than it brings."""
+    return spread(df) if name in ("lineitem", "events") else df
+
+
 class Layers:
     """The layered tables over one directory, each a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         # one DataFrame per file and landing: reading the schema of a file is a job of its own
-        self.table = cache(lambda name: spread(spark.read.parquet(f"{sf_dir}/{name}.parquet")))
+        self.table = cache(lambda name: dealt(name, spark.read.parquet(f"{sf_dir}/{name}.parquet")))
         self.raw = cache(lambda name: getattr(inputs, f"raw_{name}")(spark, self.table))
         self.geolocation = cache(lambda: silver.silver_geolocation(self.raw("geolocation")))
 
@@ -96,7 +101,7 @@ class Layers:
         return self.table("events").agg(F.max("ts")).scalar()
 
     def recent_logs(self) -> DataFrame:
-        return monitoring.recent_logs(inputs.event_log(self.spark, self.table), self.newest_event())
+        return monitoring.recent_logs(monitoring.with_record(inputs.event_log(self.spark, self.table)), self.newest_event())
 
     def run_history(self) -> DataFrame:
         return monitoring.run_history(inputs.run_log(self.spark, self.table), self.newest_event())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import codes, numbers, times
+from martwright.operators.bloom import bloom_filter
 from martwright.operators.dedup import ascending, keep_first
 from martwright.operators.lookup import lookup_join
 
@@ -233,11 +234,15 @@ def fact_orders(
     payments: DataFrame,
     reviews: DataFrame,
     hot_from: DataFrame | None = None,
+    bloom: bool = False,
 ) -> DataFrame:
     """Order items of surviving orders with all facts of their order.
 
-    Order-level facts repeat on every item of the order, so they must not be summed over items.
+    Order-level facts repeat on every item of the order, so they must not be summed over items. With ``bloom``, items of other orders are
+    left out where they are read, by a Bloom filter of the order ids: for ``orders`` that are stored, and so are cheap to read once more.
     """
+    if bloom:
+        items = items.where(bloom_filter(orders, "order_id").passes("order_id"))
     priced = items.select(
         "order_id",
         "order_item_id",

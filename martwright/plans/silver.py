@@ -247,14 +247,9 @@ def silver_products(raw: DataFrame, raw_translation: DataFrame) -> DataFrame:
     one_each = keep_first(
         require_not_null(raw, "product_id").select("product_id", *details), ["product_id"], ascending(*details)
     ).withColumn("_category_key", text.lower_trimmed("product_category_name"))
-    named = lookup_join(
-        one_each,
-        unique_translation(raw_translation),
-        "_category_key",
-        "category_key",
-        spread_by=["product_id"],
-        hot_from=raw.select(text.lower_trimmed("product_category_name").alias("_category_key")),
-    )
+    # adaptive execution sees the size of the translations when they are made unique: it broadcasts them, and splits the products of a
+    # hot category where they are too many for that, so no one has to look for hot categories beforehand
+    named = one_each.join(unique_translation(raw_translation).withColumnRenamed("category_key", "_category_key"), "_category_key", "left")
 
     measured = named.select(
         "product_id",

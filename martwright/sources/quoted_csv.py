@@ -8,13 +8,44 @@ per split is ordered per file.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 CSV_OPTIONS = {"escape": '"'}
 # Column that holds the text of a record whose number of fields is not that of the header.
 REJECTED = "_REJECTED"
 
+@dataclass(frozen=True)
+class CsvFiles:
+    """All files of some names in any folder below a directory. Spark lists them; their paths are in no list here."""
+
+    directory: str
+    names: tuple[str, ...]
+
+    @property
+    def glob(self) -> str:
+        escaped = ("".join(f"\\{c}" if c in "*?[]{},\\" else c for c in name) for name in self.names)
+        return "{" + ",".join(escaped) + "}"
+
+
+Files = CsvFiles | list[str]
+
+
+def located(reader: DataFrameReader, files: Files) -> tuple[DataFrameReader, str | list[str]]:
+    """``reader`` and what it is to load, for files of some names or for paths."""
+    if isinstance(files, CsvFiles):
+        return reader.option("recursiveFileLookup", True).option("pathGlobFilter", files.glob), files.directory
+    return reader, files
+
+
+def header_columns(spark: SparkSession, files: Files) -> list[str]:
+    """The column names of one of the files."""
+    reader, where = located(spark.read.options(**CSV_OPTIONS).option("header", True), files if isinstance(files, CsvFiles) else files[:1])
+    return reader.csv(where).columns
+
+
 # States between two quotes of a line.
 _OUTSIDE, _INSIDE, _CLOSED = 0, 1, 2
 
@@ -42,20 +73,21 @@ def _states(line: str = "value") -> tuple[Column, Column]:
     )
 
 
-def _text(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.option("lineSep", "\n").text(paths)
+def _text(spark: SparkSession, files: Files) -> DataFrame:
+    reader, where = located(spark.read.option("lineSep", "\n"), files)
+    return reader.text(where)
 
 
-def has_quoted_breaks(spark: SparkSession, paths: list[str]) -> bool:
+def has_quoted_breaks(spark: SparkSession, files: Files) -> bool:
     """Whether any line ends inside a quoted field that it opened. One scan without a shuffle, up to the first such line."""
     from_outside, _ = _states()
-    return not _text(spark, paths).where(from_outside == 1).isEmpty()
+    return not _text(spark, files).where(from_outside == 1).isEmpty()
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, files: Files) -> DataFrame:
     """Lines with their place (``file``, ``split``, ``line``) and the states after them."""
     from_outside, from_inside = _states()
-    return _text(spark, paths).select(
+    return _text(spark, files).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         # increases along the lines of a split
@@ -89,12 +121,12 @@ def _before(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     return flipped.withColumns({"before_outside": outside, "before_inside": inside}).drop("flips")
 
 
-def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+def quoted_records(spark: SparkSession, files: Files) -> DataFrame:
     """``file, is_header, record``: one row per CSV record, line breaks inside quotes kept.
 
     A file that ends inside a quoted field is an error, found before any of its lines are put together.
     """
-    lines = _before(_lines(spark, paths), ["file", "split"], "line")
+    lines = _before(_lines(spark, files), ["file", "split"], "line")
 
     def after(state: str) -> Column:
         return F.when(F.col(state) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
@@ -152,15 +184,16 @@ def csv_schema(columns: list[str]) -> str:
     return ", ".join("`{}` STRING".format(c.replace("`", "``")) for c in [*columns, REJECTED])
 
 
-def read_quoted_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_quoted_csv(spark: SparkSession, files: Files) -> DataFrame:
     """Rows of CSV files with one and the same header line, all columns text, with ``REJECTED`` and ``_SOURCE_PATH``."""
-    columns = spark.read.options(**CSV_OPTIONS).option("header", True).csv(paths[0]).columns
-    header = _text(spark, [paths[0]]).first()[0].rstrip("\r")
+    columns = header_columns(spark, files)
+    one = files if isinstance(files, CsvFiles) else files[:1]
+    header = _text(spark, one).where("_metadata.file_block_start = 0").first()[0].rstrip("\r")
     other_header = F.raise_error(F.concat(F.lit("other header line in "), F.col("file"))).cast("boolean")
     is_row = F.when(F.col("is_header") & (F.col("record") != header), other_header).otherwise(~F.col("is_header"))
     options = {**CSV_OPTIONS, "columnNameOfCorruptRecord": REJECTED, "mode": "PERMISSIVE"}
     rows = (
-        quoted_records(spark, paths)
+        quoted_records(spark, files)
         .where((F.col("record") != "") & is_row)
         .select(F.from_csv("record", csv_schema(columns), options).alias("row"), F.col("file").alias("_SOURCE_PATH"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -22,6 +24,11 @@ SOURCES = {
 }
 
 
+# Between a table's name and its version, and the text of a name that points to one.
+_VERSION = "__v"
+_POINTER = "SELECT * FROM "
+
+
 def route_schema(custom: str | None, default: str) -> str:
     """Schema of a table: the custom name as given (trimmed), else the default."""
     return default if custom is None else custom.strip()
@@ -59,20 +66,70 @@ def stamped(df: DataFrame, with_zone: bool = False) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp() if with_zone else F.localtimestamp())
 
 
-def rebuild_table(df: DataFrame, name: str, sort_by: Sequence[str] = ()) -> None:
-    """Full rebuild of a stored table: written beside it, then put in its place.
+def quoted(name: str, suffix: str = "") -> str:
+    """A table's name with ``suffix`` added to its last part, inside the backquotes if it has them."""
+    return f"{name[:-1]}{suffix}`" if name.endswith("`") else f"{name}{suffix}"
 
-    A rebuild that fails leaves the table as it was. With ``sort_by`` the rows are dealt by ranges of those columns and
-    sorted in the files, whose statistics then let a filter on them skip files.
-    """
-    spark = df.sparkSession
-    beside = f"{name.removesuffix('`')}__rebuild`" if name.endswith("`") else f"{name}__rebuild"
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The stored table that ``name`` points to; ``None`` if there is no pointer of that name."""
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").first()
+    return described["data_type"].removeprefix(_POINTER) if described else None
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The stored versions of ``name``, oldest first, those of rebuilds that failed among them."""
+    schema, _, table = name.rpartition(".")
+    stem = f"{table.strip('`')}{_VERSION}"
+    tables = spark.sql(f"SHOW TABLES IN {schema}" if schema else "SHOW TABLES").select("tableName").collect()
+    found = sorted(t for (t,) in tables if t.lower().startswith(stem.lower()))
+    return [f"{schema}.`{t}`" if schema else f"`{t}`" for t in found]
+
+
+def store_version(df: DataFrame, name: str, sort_by: Sequence[str] = ()) -> str:
+    """``df`` as a new stored version of ``name``, which nothing points to yet."""
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    spark.sql(f"DROP TABLE IF EXISTS {beside}")
-    df.write.saveAsTable(beside)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    moment = dt.datetime.now(dt.UTC).strftime("%Y%m%d%H%M%S%f")
+    version = quoted(name, f"{_VERSION}{moment}_{uuid.uuid4().hex[:8]}")
+    df.write.saveAsTable(version)
+    return version
+
+
+def point_to(spark: SparkSession, name: str, version: str) -> None:
+    """Let ``name`` be ``version`` from now on: one change of one entry of the catalog.
+
+    ``ALTER VIEW`` replaces the text of the entry, where ``CREATE OR REPLACE VIEW`` drops it first. A plain table of that name, from before there
+    were versions, becomes the oldest version; only that once there is a moment without the name.
+    """
+    if spark.catalog.tableExists(name):
+        if current_version(spark, name) is not None:
+            spark.sql(f"ALTER VIEW {name} AS {_POINTER}{version}")
+            return
+        spark.sql(f"ALTER TABLE {name} RENAME TO {quoted(name, f'{_VERSION}0')}")
+    spark.sql(f"CREATE VIEW {name} AS {_POINTER}{version}")
+
+
+def rebuild_table(df: DataFrame, name: str, sort_by: Sequence[str] = ()) -> str:
+    """Full rebuild of a stored table: a new version beside the present one, then the name is pointed to it.
+
+    Readers find the old rows or the new ones, whenever they look and wherever a rebuild stops. The version before stays until the next rebuild, for queries
+    that have begun on it; older ones, and those of rebuilds that failed since, are dropped. With ``sort_by`` the rows are dealt by ranges of those
+    columns and sorted in the files, whose statistics then let a filter on them skip files.
+    """
+    spark = df.sparkSession
+    version = store_version(df, name, sort_by)
+    before = current_version(spark, name)
+    point_to(spark, name, version)
+    # versions are named by time: one that another rebuild is writing now is not older
+    last = [v for v in versions(spark, name) if v < version]
+    kept = before if before is not None else last[-1] if last else None
+    for old in last:
+        if kept is None or old.replace("`", "").lower() != kept.replace("`", "").lower():
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return version
 
 
 def replace_view(spark: SparkSession, name: str, sql: str) -> None:
