@@ -3,7 +3,7 @@
 Terms are words and the beginnings of longer words, hashed. A factorization machine adds, to a weight per term, a weight
 for every pair of terms: the product of their factors. So an insult beside the mention of a group can weigh more
 than both alone, which additive weights miss. Those terms enter the model that tell the classes of the training
-rows apart best.
+rows apart best, alone or as parts of a pair that says more than its parts do: two terms may mean nothing but together.
 
 The model is fitted on a bounded sample of the labelled rows (``sample_rows`` of each class, chosen by a hash of the id); the
 rows kept out of training, and every text, are scored with it in Spark.
@@ -32,9 +32,17 @@ SAMPLE_ROWS = 6000
 _BEGINNING = 4
 # Gain in log likelihood that a term must bring: about that of a test at 1 in 70.
 _LEAST_GAIN = 3.0
+# Terms, the most frequent ones, whose pairs are looked at, and the gain that a pair must bring beyond that of its parts: less than one
+# pair in a million does so by chance.
+PAIRED = 800
+_LEAST_PAIR_GAIN = 14.0
 _WORD = re.compile(r"\w+")
 
 
+# Bias at most of a model that can't tell texts apart.
+_NOT_TOXIC = -0.1
+
+
 def held_out(id_column: str = "doc_id", folds: int = 5) -> Column:
     """Rows whose labels no model sees: one fold of the ids."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % folds == 0, F.lit(False))
@@ -116,13 +124,8 @@ def _interactions(weights, factors, row, places, n) -> tuple[np.ndarray, np.ndar
     return np.bincount(row, weights[places], n) + ((sums**2).sum(1) - squares) / 2, sums
 
 
-def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[int, int]:
-    """The terms whose presence says most about the label, by likelihood ratio; those below ``_LEAST_GAIN`` are left to chance."""
-    both, hits = np.zeros(SPACE), np.zeros(SPACE)
-    for own, label in zip(rows, labels, strict=True):
-        both[own] += 1  # a row has each term once
-        hits[own] += label
-    total, positive = len(rows), labels.sum()
+def _gain(both: np.ndarray, hits: np.ndarray, total: float, positive: float) -> np.ndarray:
+    """What it says about the label, in log likelihood, that a row has something: ``both`` rows have it, ``hits`` of them positive."""
 
     def part(seen, expected):
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
@@ -131,10 +134,42 @@ def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[i
         rest, rest_hits = total - both, positive - hits
         share = positive / total
         gain = part(hits, both * share) + part(both - hits, both * (1 - share))
-        gain += part(rest_hits, rest * share) + part(rest - rest_hits, rest * (1 - share))
+        return gain + part(rest_hits, rest * share) + part(rest - rest_hits, rest * (1 - share))
+
+
+def _paired_terms(rows: list[list[int]], labels: np.ndarray, both: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Terms of pairs that say more than their two terms do, those of the best pairs first."""
+    # a term that all rows have says as little beside another as alone
+    counts = np.where(both < len(rows), both, 0)
+    often = np.argsort(-counts, kind="stable")[:PAIRED]
+    often = often[counts[often] > 0]
+    place = np.full(SPACE, -1)
+    place[often] = np.arange(len(often))
+    row, found = _flat(rows)
+    found = place[found]
+    has = np.zeros((len(rows), len(often)), np.float32)
+    has[row[found >= 0], found[found >= 0]] = 1
+    pairs, hits = has.T @ has, has[labels > 0].T @ has[labels > 0]
+    more = _gain(pairs.astype(float), hits.astype(float), len(rows), labels.sum()) - gain[often][:, None] - gain[often][None, :]
+    a, b = np.nonzero(np.triu(more > _LEAST_PAIR_GAIN, 1))
+    order = np.argsort(-more[a, b], kind="stable")
+    return often[np.stack([a[order], b[order]], 1).ravel()]
+
+
+def choose_terms(rows: list[list[int]], labels: np.ndarray, most: int) -> dict[int, int]:
+    """The terms whose presence says most about the label, by likelihood ratio, alone or in pairs; the others are left to chance."""
+    both, hits = np.zeros(SPACE), np.zeros(SPACE)
+    for own, label in zip(rows, labels, strict=True):
+        both[own] += 1  # a row has each term once
+        hits[own] += label
+    gain = _gain(both, hits, len(rows), labels.sum())
     usable = np.flatnonzero(gain > _LEAST_GAIN)
-    best = usable[np.lexsort((usable, -gain[usable]))][:most]
-    return {int(t): i for i, t in enumerate(best)}
+    best = usable[np.lexsort((usable, -gain[usable]))]
+    paired = _paired_terms(rows, labels, both, gain)
+    # half of the room at most for terms that enter by a pair only
+    paired = list(dict.fromkeys(paired.tolist()))[: most // 2]
+    chosen = list(dict.fromkeys([*paired, *best.tolist()]))[:most]
+    return {int(t): i for i, t in enumerate(chosen)}
 
 
 def fit(rows: list[list[int]], labels: np.ndarray, most: int = TERMS, factors: int = FACTORS, rounds: int = 150, decay: float = 2e-4) -> Model:
@@ -197,10 +232,10 @@ def train(
 ) -> Model:
     """Model of the labelled rows that are not held out.
 
-    Ids or labels that are NULL are not used; where an id has several labels, one that says toxic holds. Without labelled
-    rows the model scores every text alike, at one half. The bias is that of the classes' shares among all training rows, not those
-    of the sample, which has up to ``sample_rows`` of each class. A model without terms (no labelled rows, those of one class only, or
-    too few) can't tell texts apart, so its score is one half at most, which is not ``toxic``.
+    Ids or labels that are NULL are not used; where an id has several labels, one that says toxic holds. The bias is that of the classes'
+    shares among all training rows, not those of the sample, which has up to ``sample_rows`` of each class. A model without terms (no
+    labelled rows, those of one class only, or too few) can't tell texts apart: it scores every text alike, by the smoothed shares of
+    the classes, one third without labels, and always below one half, which is not ``toxic``.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -220,13 +255,13 @@ def train(
         drawn_of = {k: min(n, sample_rows) for k, n in counts.items()}
         model.bias += float(np.log(counts[1] / counts[0] / (drawn_of[1] / drawn_of[0])))
     if not model.terms:
-        model.bias = min(model.bias, 0.0)
+        model.bias = min(float(np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 2))), _NOT_TOXIC)
     return model
 
 
 def toxic(score: str = "score") -> Column:
-    """Whether a score says toxic: above one half, the score of a model that knows nothing."""
-    return F.col(score) > 0.5
+    """Whether a score says toxic: one half or more."""
+    return F.col(score) >= 0.5
 
 
 def _scores(model: Model):
