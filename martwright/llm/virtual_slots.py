@@ -1,6 +1,7 @@
 """Sharding by fixed virtual slots.
 
-Records are hashed into thousands of slots that never change. The bytes of each slot are summed,
+Records are hashed into thousands of slots that never change, by id and checksum, so that rows without an id, or
+with one id, are spread as well; many rows that are equal in both are dealt to several slots. The bytes of each slot are summed,
 and a stored, versioned map says which shard holds a slot. Rebalancing edits the map: it moves whole
 slots, as few as it can, and writes the next version; a record's slot stays the same for good.
 
@@ -15,23 +16,41 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martwright.llm.storage import store
+
 SLOTS = 6144
 SHARDS = 24
 # Bytes that a record takes besides its text.
 RECORD_BYTES = 8
+# Rows of equal id and checksum that a slot takes in any case.
+_EQUAL_ROWS = 100
 
 Sizes = dict[int, tuple[int, int]]
 
 
 def records(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", slots: int = SLOTS) -> DataFrame:
-    """``id, size, text_crc32, virtual_slot`` of each row; the slot depends on the id alone (NULL ids share one)."""
+    """``id, size, text_crc32, virtual_slot`` of each row, written to the shared folder.
+
+    The slot depends on id and checksum alone, but for rows of which so many are equal in both that they would fill a good part of a slot: they
+    are dealt to as many slots as that takes, by their place in the written table.
+    """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    return docs.select(
+    rows = docs.select(
         F.col(id_column).cast("long").alias(id_column),
         (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_column).cast("long")), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    rows = store(rows, "records")
+    same = [id_column, "text_crc32"]
+    counts = rows.groupBy(*same).agg(F.count("*").alias("n"))
+    share = F.greatest(F.lit(_EQUAL_ROWS), F.lit(rows.count()) / (4 * slots))
+    # at most four per slot
+    equal = F.broadcast(counts.where(F.col("n") > share).select(*(F.col(c).alias(f"_{c}") for c in same), F.ceil(F.col("n") / share).alias("parts")))
+    found = rows.join(equal, F.col(id_column).eqNullSafe(F.col(f"_{id_column}")) & (F.col("text_crc32") == F.col("_text_crc32")), "left")
+    part = F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0).cast("long"))
+    slot = F.pmod(F.xxhash64(id_column, "text_crc32", part), F.lit(slots)).cast("int")
+    return found.select(id_column, "size", "text_crc32", slot.alias("virtual_slot"))
 
 
 def slot_sizes(of: DataFrame) -> Sizes:
@@ -149,8 +168,8 @@ def shard_documents(
 
     Without ``version`` a first map is made and stored under ``map_path`` as version 0; otherwise
     the stored version is used as it is. Other columns of ``docs`` are not read. A NULL text counts as
-    empty and a NULL id is a value like another; rows that repeat an id share its slot and get a place each, in
-    the order of id, checksum and size. No rows give no rows, and a map of even slot counts.
+    empty and a NULL id is a value like another; rows that repeat an id and a text share a slot, but for many of them, and get a place
+    each, in the order of id, checksum and size. No rows give no rows, and a map of even slot counts.
     """
     of = records(docs, id_column, text_column, slots)
     sizes = slot_sizes(of)

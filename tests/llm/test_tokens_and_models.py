@@ -145,6 +145,26 @@ def test_shards(docs_of, edge_rows, spark):
     assert set(fewer.values()) <= set(range(10))
 
 
+@pytest.mark.parametrize("kind", ["no id", "one id", "one row"])
+def test_shards_are_near_equal_whatever_the_ids(spark, kind):
+    """A third of the rows have no id, or one id, or are one row."""
+    random_ = random.Random(3)
+    rows = []
+    for i in range(30_000):
+        text = "x" * random_.randrange(20, 400) + str(i)
+        rows.append({"no id": (None, text), "one id": (7, text), "one row": (None, "same " * 40)}[kind] if i % 3 == 0 else (i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    placed = slots.shard_documents(docs, new_folder(spark, "map")).collect()
+    loads = sorted(sum(r.size for r in placed if r.shard == k) for k in range(24))
+    assert loads[-1] <= 1.01 * loads[0]
+    for shard in range(24):
+        own = sorted(r.slot for r in placed if r.shard == shard)
+        assert own == list(range(len(own)))
+    # no task has more than a few slots' rows
+    assert max(Counter(r.virtual_slot for r in placed).values()) < 600
+    assert Counter((r.doc_id, r.text_crc32) for r in placed) == Counter((d, zlib.crc32(t.encode())) for d, t in rows)
+
+
 def toxic_rows(n: int):
     """Insult and group are each harmless; together they are toxic. A slur alone is toxic."""
     random_ = random.Random(4)
@@ -173,9 +193,26 @@ def test_toxicity_learns_pairs(docs_of, spark):
     assert scores[None] == scores[-1] and scores[-2] > 0.5
     assert train(docs, table).to_bytes() == model.to_bytes()
     assert toxicity(docs_of([]), model).count() == 0
-    # without labelled rows all texts score alike
+    # without labelled rows all texts score alike, and are not toxic
     alike = train(docs_of([]), table.limit(0))
-    assert {r.score for r in toxicity(docs_of(rows[:5]), alike).collect()} == {0.5}
+    (score,) = {r.score for r in toxicity(docs_of(rows[:5]), alike).collect()}
+    assert score == pytest.approx(1 / 3)
+
+
+def test_toxicity_learns_terms_that_mean_nothing_alone(docs_of, spark):
+    random_ = random.Random(8)
+    rows, labels = [], []
+    for i in range(4000):
+        insult, group = random_.random() < 0.5, random_.random() < 0.5
+        text = [f"n{random_.randrange(3000)}" for _ in range(30)] + ["insult"] * insult + ["group"] * group
+        random_.shuffle(text)
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(insult != group)))
+    docs = docs_of(rows)
+    model = train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scores = {r.doc_id: r.score for r in toxicity(docs, model).collect()}
+    held = [(i, y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((scores[i] >= 0.5) == (y == 1) for i, y in held) / len(held) > 0.95
 
 
 def test_model_bytes():
