@@ -25,13 +25,16 @@ _ENDS_PARAGRAPH = frozenset(
     "section table ul".split()
 )
 
-_ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
+# Attributes up to the end of a tag. A quote opens a value only directly after an equals sign and if it is closed; outside of values a tag ends before
+# the next one opens. Possessive throughout, so that what can't match fails at once: pages of unclosed tags take time in proportion.
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+')?+"""
+_ATTRIBUTES = rf"(?:[^<>=]++|{_VALUE})*+"
 # A name ends at white space, a slash or the end of the tag: svg-icon is no svg. Only an svg can close itself.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?!svg(?=[\s/]){_ATTRIBUTES}/>)({'|'.join(RAW)})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<[!?][^>]*>"
-    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>",
+    rf"|<(?!svg(?=[\s/])(?:[^<>=/]++|{_VALUE}|/(?!>))*+/>)({'|'.join(RAW)})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1(?=[\s/>])[^<>]*+>?|\Z)"
+    r"|<[!?][^<>]*+>"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_ATTRIBUTES})>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

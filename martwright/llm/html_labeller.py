@@ -103,11 +103,22 @@ def _variant(blocks: list[Block], pool: list[str], random: np.random.Generator)
     wrappers = (("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".post"), ("div", ".main", ".content"),
                 ("div", ".entry", ".content"), ("section", ".story"), ("div", ".article", ".body"), ("div",), ())
     wrapper = wrappers[random.integers(len(wrappers))]
+    # an article is more than paragraphs: lists, tables, quotations, code, captions and headings below the first
+    insides = (("ul", "li"), ("ol", "li"), ("table", "tr", "td"), ("table", "tbody", "tr", "td"), ("table", "tr", "th"), ("blockquote",), ("blockquote", "p"),
+               ("pre",), ("figure", "figcaption"), ("h2",), ("h3",), ("h4",), ("dl", "dt"), ("dl", "dd"), ("div",), ("section", "p"), ("div", "p"))
+    rich = random.random() < 0.6
     out: list[tuple[Block, float]] = []
     for block in blocks:
         main = marked_main(block.path)
+        inside = tuple(n for n in block.path if n not in MAIN and n not in ("html", "body"))
+        if main and rich and random.random() < 0.4:
+            kind = insides[random.integers(len(insides))]
+            # items, cells and headings are short, and several stand in a row
+            short = kind[-1] in ("li", "td", "th", "dt", "h2", "h3", "h4", "figcaption")
+            for _ in range(int(random.integers(1, 5)) if kind[-1] in ("li", "td", "th") else 1):
+                own = text(12).rstrip(".!?…") if short and random.random() < 0.7 else block.text
+                out.append((Block(own or block.text, ("html", "body", *wrapper, *kind), 0.0), 1.0))
         if main:
-            inside = tuple(n for n in block.path if n not in MAIN and n not in ("html", "body"))
             block = block._replace(path=("html", "body", *wrapper, *inside))
         out.append((block, float(main)))
     places = [i for i, (_, main) in enumerate(out) if main]
@@ -116,12 +127,12 @@ def _variant(blocks: list[Block], pool: list[str], random: np.random.Generator)
     before = (
         (0.5, lambda: some(("header",), ("div", ".header"), ("header", "div", ".masthead"), many=2, most=12)),
         (0.4, lambda: some(("div", ".cookie", ".notice"), ("div", ".alert"), ("dialog",), ("div", ".consent", ".banner"), many=2, most=20)),
-        (0.4, lambda: some(("nav", "ul", "li"), ("ul", ".menu", "li"), ("div", ".breadcrumb"), many=8, most=3, linked=1.0)),
+        (0.4, lambda: some(("nav", "ul", "li"), ("ul", ".menu", "li"), ("div", ".breadcrumb"), ("table", "tr", "td"), ("ul", "li"), ("div",), many=8, most=3, linked=1.0)),
         (0.3, lambda: some(("aside",), ("div", ".sidebar"), ("aside", "ul", "li"), many=5, most=25, linked=float(random.random() < 0.5))),
     )
     within = (
         (0.3, lambda: some((*wrapper, "div", ".ad"), (*wrapper, "aside"), (*wrapper, "div", ".advert"), (*wrapper, "div", ".promo"), many=2, most=30)),
-        (0.2, lambda: some((*wrapper, "ul", ".share", "li"), (*wrapper, "div", ".social"), (*wrapper, "form"), many=3, most=4, linked=1.0)),
+        (0.2, lambda: some((*wrapper, "ul", ".share", "li"), (*wrapper, "div", ".social"), (*wrapper, "form"), (*wrapper, "p"), (*wrapper, "ul", "li"), many=3, most=6, linked=1.0)),
     )
     after = (
         (0.5, lambda: some(("section", ".comments", "div", ".comment", "p"), ("div", ".comments", "p"), ("ul", ".comments", "li"),
@@ -148,10 +159,13 @@ def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(pages: list[list[Block]], steps: int = 250, hidden: int = HIDDEN) -> BiLstm:
-    """Network that learned the pages and their variants, in at least so many steps; the same pages in the same order give the same one."""
+    """Network that learned the pages and their variants, in at least so many steps; the same pages in the same order give the same one.
+
+    A page that marks no main text says nothing about what is, and is left out. Without any other the network takes every block.
+    """
     random = np.random.default_rng(5)
     net, vectors = BiLstm(_INPUTS, hidden), Vectors()
-    pages = [p for p in pages if p]
+    pages = [p for p in pages if any(marked_main(b.path) for b in p)]
     pool = [b.text for p in pages for b in p]
     adam = Adam(net)
     per_round = -(-2 * len(pages) // 32)

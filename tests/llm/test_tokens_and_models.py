@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -279,6 +280,55 @@ def test_leaf_blocks_lose_no_text_beside_raw_elements(page, texts):
     assert [b.text for b in leaf_blocks(page)] == texts
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<article><p title=it's>Don't panic</p><p>second can't go</p>", ["Don't panic", "second can't go"]),
+        ("<p a='x>y' b = \"'>\">one</p><p a=b'c>two</p>", ["one", "two"]),
+        ("<p a='never closed>one</p><p>two</p>", ["one", "two"]),
+        ("<p <b>one</b>", ["<p one"]),
+    ],
+)
+def test_quotes_open_a_value_after_an_equals_sign_only(page, texts):
+    assert [b.text for b in leaf_blocks(page)] == texts
+
+
+@pytest.mark.parametrize("piece", ["<a", "<a ", "<a x=", "<a x='", "<a x=\">\" ", "<!", "<script", "<svg/", "</", "<a b='\"", "=\"'<a", "<!-", "<svg x=/", "</script"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    start = time.perf_counter()
+    leaf_blocks(piece * (1_000_000 // len(piece)))
+    leaf_blocks("<script>" + piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 4
+
+
+RICH = (
+    "<html><body><nav><a href=/>home</a><a href=/b>news</a></nav><article><h1>{0}</h1><p>{1}</p><h2>{2}</h2><ul><li>{3}</li><li>{4}</li></ul>"
+    "<table><tr><th>{5}</th><td>{6}</td></tr></table><blockquote>{7}</blockquote><pre>{8}</pre><figure><figcaption>{9}</figcaption></figure></article>"
+    "<footer>about us</footer></body></html>"
+)
+
+
+def test_lists_tables_and_quotations_of_an_article_are_kept():
+    net = fit([leaf_blocks(page(i)[0]) for i in range(150)])
+    random_ = random.Random(77)
+    kept = seen = wrong = 0
+    for _ in range(40):
+        parts = [" ".join(f"w{random_.randrange(300)}" for _ in range(n)) for n in (5, 30, 4, 3, 8, 2, 2, 20, 9, 6)]
+        blocks = leaf_blocks(RICH.format(*parts))
+        logits = net.logits(Vectors().of(blocks)[None], np.ones((1, len(blocks)), np.float32))[0]
+        for block, logit in zip(blocks, logits, strict=True):
+            main = "article" in block.path
+            seen, kept = seen + main, kept + (main and logit >= 0)
+            wrong += not main and logit >= 0
+    assert kept / seen > 0.97 and wrong <= 4
+
+
+def test_pages_without_marks_are_not_learned_as_boilerplate():
+    unmarked = [leaf_blocks(page(i)[0].replace("article", "div").replace("nav", "div")) for i in range(30)]
+    net = fit(unmarked)
+    assert (net.logits(Vectors().of(unmarked[0])[None], np.ones((1, len(unmarked[0])), np.float32)) >= 0).all()
+
+
 def test_paths_and_links():
     blocks = leaf_blocks('<body><div id="main" class="Post-Body x"><h1>t</h1><a href=y>abcd</a>efgh</div></body>')
     assert blocks[0].path == ("body", "div", ".main", ".post", ".body", ".x", "h1")
