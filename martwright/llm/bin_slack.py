@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm.encoding import TOKENIZER, Encoder
 from martwright.llm.recurring import NO_ID, keyed
-from martwright.llm.storage import small_batches, store
+from martwright.llm.storage import released, small_batches, store
 
 CAPACITY = 2048
 END_ID = 0
@@ -141,7 +141,7 @@ def pack_documents(
     spark = docs.sparkSession
     small_batches(spark)
     schema = "_id long, piece int, start long, length long, ids_crc32 long"
-    pieces = store(keyed(docs, id_column, text_column).mapInArrow(_pieces(tokenizer, capacity), schema), "pieces")
+    pieces = store(keyed(docs, id_column, text_column).mapInArrow(released(_pieces(tokenizer, capacity)), schema), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     runs, _ = pack(histogram, capacity)
 
@@ -161,5 +161,5 @@ def pack_documents(
         .withColumn("rank", F.col("before") + F.col("number"))
         .select("_id", "piece", "start", "length", "ids_crc32", "rank")
     )
-    placed = ranked.mapInArrow(_placed(runs), f"{schema}, sequence_id long, offset long")
+    placed = ranked.mapInArrow(released(_placed(runs)), f"{schema}, sequence_id long, offset long")
     return placed.withColumn("_id", F.nullif("_id", F.lit(NO_ID))).withColumnRenamed("_id", id_column)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from martwright.llm.components import components
 from martwright.llm.recurring import KEY, NO_ID, keyed, texts_of
 from martwright.llm.rolling import Rolling, WordHashes, mix
-from martwright.llm.storage import small_batches, store
+from martwright.llm.storage import released, small_batches, store
 
 SHINGLE = 3
 PERCENT = 90
@@ -295,7 +295,7 @@ def _whole_sets(size: int):
 
 def _searched(sets: DataFrame, percent: int) -> DataFrame:
     keys = ["group_id", "group_h", "low", "high"]
-    return sets.repartition(*keys).sortWithinPartitions(*keys, *KEY).mapInArrow(_links(percent), _EDGES)
+    return sets.repartition(*keys).sortWithinPartitions(*keys, *KEY).mapInArrow(released(_links(percent)), _EDGES)
 
 
 def _in_pairs(rows: DataFrame) -> DataFrame:
@@ -339,7 +339,7 @@ def _large_groups(sets: DataFrame, percent: int, shard: int, group_rows: int) ->
     group = ["group_id", "group_h"]
     ones = sets.where("_id = group_id AND _h = group_h").select(*group, F.col("tokens").alias("one")).dropDuplicates(group)
     schema = "group_id long, group_h long, _id long, _h long, tokens binary, linked boolean"
-    compared = store(sets.join(ones, group).mapInArrow(_to_one(percent), schema).dropDuplicates([*group, *KEY]), "compared")
+    compared = store(sets.join(ones, group).mapInArrow(released(_to_one(percent)), schema).dropDuplicates([*group, *KEY]), "compared")
     star = compared.where("linked").select(F.col("group_id").alias("a_id"), F.col("group_h").alias("a_h"), F.col("_id").alias("b_id"), F.col("_h").alias("b_h"))
     return star.unionByName(_searched(_blocks_of(compared, shard, group_rows), percent))
 
@@ -364,14 +364,14 @@ def near_duplicates(
     spark = docs.sparkSession
     small_batches(spark)
     texts = keyed(docs, id_column, text_column)
-    counted = texts.select("text").mapInArrow(_frequent_rows(size, percent), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = texts.select("text").mapInArrow(released(_frequent_rows(size, percent)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = store(counted.where("token IS NULL OR n > 100"), "shingle-counts")
     rows = counted.where("token IS NULL").agg(F.sum("n")).first()[0] or 0
     often = [r["token"] for r in counted.where(F.col("token").isNotNull() & (F.col("n") > max(100, frequent * rows))).collect()]
     last = np.sort(np.array(often, np.int64).view(np.uint64))
 
     schema = "_id long, _h long, n long, sum long, fold long, prefix array<long>, buckets binary"
-    sets = store(texts.mapInArrow(_set_rows(size, percent, last), schema), "sets")
+    sets = store(texts.mapInArrow(released(_set_rows(size, percent, last)), schema), "sets")
     same = ["n", "sum", "fold"]
     # written, so that the join is one of two plain exchanges, of which Spark can split the one with many copies
     classes = store(sets.groupBy(*same).agg(F.min(F.struct(*KEY)).alias("stands")), "stands")
@@ -389,7 +389,7 @@ def near_duplicates(
         members_of = members_of.unionByName(_crowded_groups(tokens, crowded, group_rows))
     gathered = members_of.join(ones.select(*KEY, "n", "buckets"), KEY)
     place = ["token", "low", "high"]
-    near = gathered.repartition(*place).sortWithinPartitions(*place, *KEY).mapInArrow(_candidates(percent), _EDGES).distinct()
+    near = gathered.repartition(*place).sortWithinPartitions(*place, *KEY).mapInArrow(released(_candidates(percent)), _EDGES).distinct()
 
     def nodes(edges: DataFrame) -> DataFrame:
         a, b = (F.struct(F.col(f"{x}_id").alias("_id"), F.col(f"{x}_h").alias("_h")).alias(x) for x in "ab")
@@ -398,7 +398,7 @@ def near_duplicates(
     groups = nodes(near).select("node.*", F.col("component._id").alias("group_id"), F.col("component._h").alias("group_h"))
     # the candidates grow with the documents, so they are not to be broadcast, however few they are
     whole = texts.join(groups.hint("merge"), KEY)
-    whole = store(whole.mapInArrow(_whole_sets(size), "group_id long, group_h long, _id long, _h long, tokens binary"), "whole-sets")
+    whole = store(whole.mapInArrow(released(_whole_sets(size)), "group_id long, group_h long, _id long, _h long, tokens binary"), "whole-sets")
     group = ["group_id", "group_h"]
     weights = whole.groupBy(*group).agg((F.sum(F.octet_length("tokens")) / 8).alias("shingles"), F.count("*").alias("sets"))
     large = store(weights.where((F.col("shingles") > shard_shingles) | (F.col("sets") > group_rows)), "large-groups")

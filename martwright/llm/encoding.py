@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -27,20 +29,25 @@ class Encoder:
 
     def __init__(self, name: str = TOKENIZER):
         self.path = public_tokenizers.path(name)
-        self._slow = tokenizers.Tokenizer.from_file(self.path)
-        self._slow.no_truncation()
-        self._slow.no_padding()
         self._fast = None
         if name == TOKENIZER:
             lines = map(bytes.split, Path(public_tokenizers.path(_RANKS)).read_bytes().splitlines())
-            special = {t.content: i for i, t in self._slow.get_added_tokens_decoder().items() if t.special}
+            added = json.loads(Path(self.path).read_bytes())["added_tokens"]
             self._fast = tiktoken.Encoding(
                 name,
                 pat_str=public_tokenizers.PATTERN,
                 mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in lines},
-                special_tokens=special,
+                special_tokens={t["content"]: t["id"] for t in added if t["special"]},
             )
 
+    @cached_property
+    def _slow(self) -> tokenizers.Tokenizer:
+        """Read where it is first needed: most tasks hold one library's vocabulary only."""
+        slow = tokenizers.Tokenizer.from_file(self.path)
+        slow.no_truncation()
+        slow.no_padding()
+        return slow
+
     def ids(self, text: str) -> np.ndarray:
         if self._fast is not None and (text.isascii() or max(text) < _SETTLED):
             return self._fast.encode_to_numpy(text, allowed_special="all")

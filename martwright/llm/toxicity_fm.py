@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.recurring import NO_ID, keyed
-from martwright.llm.storage import small_batches, store
+from martwright.llm.storage import released, small_batches, store
 
 SPACE = 2**20
 TERMS = 6000
@@ -248,8 +248,8 @@ def train(
     sample = store(known.where(drawn), "label-sample")
     sample = keyed(docs, id_column, text_column).join(sample, "_id").select("_id", "label", "text")
     # a bounded number of rows, written first so that the reading of all documents stays in many tasks
-    sample = store(sample.mapInArrow(_term_rows, "_id long, label int, terms array<int>"), "sample-terms")
-    row = sample.coalesce(1).mapInArrow(_trained(most_terms, factors), "model binary").first()
+    sample = store(sample.mapInArrow(released(_term_rows), "_id long, label int, terms array<int>"), "sample-terms")
+    row = sample.coalesce(1).mapInArrow(released(_trained(most_terms, factors)), "model binary").first()
     model = Model.from_bytes(bytes(row[0]), factors) if row else fit([], np.empty(0), most_terms, factors)
     if model.terms and counts.get(0) and counts.get(1):
         drawn_of = {k: min(n, sample_rows) for k, n in counts.items()}
@@ -282,5 +282,5 @@ def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     the model, have the score of its bias. Rows that repeat have equal scores; a NULL id stays NULL. No rows give no rows.
     """
     small_batches(docs.sparkSession)
-    scores = keyed(docs, id_column, text_column).mapInArrow(_scores(model), "_id long, score double")
+    scores = keyed(docs, id_column, text_column).mapInArrow(released(_scores(model)), "_id long, score double")
     return scores.withColumn("_id", F.nullif("_id", F.lit(NO_ID))).withColumnRenamed("_id", id_column)
