@@ -11,12 +11,14 @@ connected components. In steps that lose no link:
    a number of rows linear in the group, gives candidate components.
 4. T-occurrence search in each candidate component, over whole sets: an inverted index of its shingles; each set
    is a query whose short lists are merged and whose long lists are probed by binary search, where only sets found often enough in
-   the short lists are probed (DivideSkip). Overlaps are exact, and so are the links.
+   the short lists are probed (DivideSkip). Overlaps are exact, and so are the links. Each document's links are counted, the sets'
+   copies with them, without a row per link.
 
 Groups with too many classes for a task are cut into blocks, and a task tests a pair of blocks. Candidate components with too
-many shingles or sets for a task are first compared with one of their sets. What links to that one is connected already; the
-others are searched for in pairs of blocks of the component: with each other, and with those connected already. A task holds two
-blocks, about ``shard_shingles`` and ``group_rows`` at most; the number of pairs grows with the square of what doesn't link.
+many shingles or sets for a task are cut into blocks too, all pairs of which are searched. Where links needn't be counted, they are
+first compared with one of their sets: what links to that one is connected already, and only the others are paired, with each other and with
+those connected already. A task holds two blocks, about ``shard_shingles`` and ``group_rows`` at most; the number of pairs grows with
+the square of the blocks, as the links of a group do.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ SHARD_SHINGLES = 2_000_000
 GROUP_ROWS = 50_000
 # Cost of a probe against that of a merged entry, as in the rule that chooses how many lists count as long.
 _MU = 0.01
+# Cost of a probe against that of a merged entry, as measured; it decides how, not what, is counted.
+_PROBE = 10
 
 
 def shingles(text: bytes, hashes: WordHashes, size: int) -> np.ndarray:
@@ -168,12 +172,15 @@ def _forest(sizes: np.ndarray, buckets: list[np.ndarray], percent: int) -> Itera
                     queue += near.tolist()
 
 
-def _edge_batch(edges: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    columns = list(zip(*edges, strict=True)) if edges else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a_id", "a_h", "b_id", "b_h"])
+_ENDS = ["a_id", "a_h", "b_id", "b_h"]
+_EDGES = "a_id long, a_h long, b_id long, b_h long"
+# A link that connects, with 0 linked documents; or a set, at both ends, with a number of documents that it links to.
+_LINKS = f"{_EDGES}, linked long"
 
 
-_EDGES = "a_id long, a_h long, b_id long, b_h long"
+def _batch(rows: list[tuple[int, ...]], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str]) -> Iterator[list[tuple]]:
@@ -201,64 +208,119 @@ def _candidates(percent: int):
                 buckets = [np.frombuffer(r[3], np.uint8) for r in group]
                 edges += [(*group[a][:2], *group[b][:2]) for a, b in _forest(sizes, buckets, percent)]
             if len(edges) > 10_000:
-                yield _edge_batch(edges)
+                yield _batch(edges, _ENDS)
                 edges = []
-        yield _edge_batch(edges)
+        yield _batch(edges, _ENDS)
 
     return rows
 
 
-def divide_skip(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect the sets of each connected component; every pair not connected by them has been searched for.
-
-    With ``sides``, those are pairs of sets of different sides only.
+class _Index:
+    """Inverted lists of some sets, which are numbered by size, so that each set meets every pair's larger one in the rest of its lists."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        tokens = np.concatenate(sets)
+        owners = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        new = np.ones(len(order), bool)
+        new[1:] = tokens[order[1:]] != tokens[order[:-1]]
+        numbers = np.cumsum(new) - 1
+        ends = np.append(np.flatnonzero(new)[1:], len(order))
+        self.lists = owners[order]
+        # places in all lists, sorted by list and set, for probes
+        self._places = numbers * len(sets) + self.lists
+        self._number, self._start = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        self._number[order], self._start[order] = numbers, np.arange(len(order)) + 1
+        self._end = ends[self._number]
+        self._own = np.concatenate(([0], np.cumsum(self.sizes)))
+
+    def rests(self, x: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number, start and length of what follows the set ``x`` in its lists, short ones first."""
+        own = slice(self._own[x], self._own[x + 1])
+        length = self._end[own] - self._start[own]
+        order = np.argsort(length, kind="stable")
+        order = order[np.searchsorted(length[order], 1) :]
+        return self._number[own][order], self._start[own][order], length[order]
+
+    def merged(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """How often each set is in some stretches of the lists."""
+        places = np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())
+        return np.bincount(self.lists[places], minlength=len(self.sizes))
+
+    def probed(self, numbers: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """In how many of some lists each of the wanted sets is, by binary search."""
+        probes = numbers[:, None] * len(self.sizes) + wanted
+        found = np.minimum(np.searchsorted(self._places, probes), len(self._places) - 1)
+        return (self._places[found] == probes).sum(0)
+
+
+def divide_skip(
+    sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None, copies: np.ndarray | None = None
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect the sets of each connected component; and how many linked documents each set has.
+
+    With ``copies``, the documents of each set, every pair is searched for, and each linked set counts with its copies. Without, pairs
+    that other links connect already aren't searched for, and the numbers are 0. With ``sides``, only pairs of sets of different sides are.
     """
-    sizes = np.array([len(s) for s in sets])
-    owners = np.repeat(np.arange(len(sets)), sizes)
-    tokens = np.concatenate(sets)
-    order = np.lexsort((owners, tokens))
-    values, first = np.unique(tokens[order], return_index=True)
-    lists, lengths = owners[order], np.diff(np.append(first, len(tokens)))
+    by_size = np.argsort([len(s) for s in sets], kind="stable")
+    index = _Index([sets[i] for i in by_size])
+    sizes = index.sizes
+    sides = None if sides is None else sides[by_size]
+    weights = None if copies is None else copies[by_size]
+    linked_to = np.zeros(len(sets), np.int64)
     component = np.arange(len(sets))
     links = []
-    for x in np.argsort(sizes, kind="stable"):
+    for x in range(len(sets) - 1):
         n = int(sizes[x])
-        open_ = (component != component[x]) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+        if not n:
+            continue
+        last = int(np.searchsorted(sizes, 100 * n // percent, "right"))
+        open_ = np.ones(last - x - 1, bool) if weights is not None else component[x + 1 : last] != component[x]
         if sides is not None:
-            open_ &= sides != sides[x]
-        if not n or not open_.any():
+            open_ &= sides[x + 1 : last] != sides[x]
+        if not open_.any():
+            continue
+        least = int(_overlap(n + int(sizes[x + 1]), percent))
+        number, start, length = index.rests(x)
+        if len(number) < least:
             continue
-        at = np.searchsorted(values, sets[x])
-        at = at[np.argsort(lengths[at], kind="stable")]
-        least = int(_overlap(n + int(sizes[open_].min()), percent))
-        n_long = min(least - 1, int(least / (_MU * np.log2(lengths[at[-1]] + 1) + 1)))
-        short, long_ = at[: n - n_long], at[n - n_long :]
-        # merge of the short lists: how often each set is in them
-        widths = lengths[short]
-        places = np.repeat(first[short] - np.cumsum(widths) + widths, widths) + np.arange(widths.sum())
-        found = np.bincount(lists[places], minlength=len(sets))
+        n_long = min(least - 1, int(least / (_MU * np.log2(length[-1] + 1) + 1)))
+        n_short = len(number) - n_long
+        found = index.merged(start[:n_short], length[:n_short])[x + 1 : last]
         often = np.flatnonzero(open_ & (found >= least - n_long))
-        overlap = found[often]
-        for i in long_:
-            own = lists[first[i] : first[i] + lengths[i]]
-            probe = np.minimum(np.searchsorted(own, often), len(own) - 1)
-            overlap = overlap + (own[probe] == often)
+        overlap, often = found[often], often + x + 1
+        if len(often) * n_long * _PROBE < length[n_short:].sum():
+            overlap = overlap + index.probed(number[n_short:], often)
+        else:  # so many that merging the long lists too is cheaper
+            overlap = overlap + index.merged(start[n_short:], length[n_short:])[often]
         linked = often[100 * overlap >= percent * (sizes[often] + n - overlap)]
-        for y in linked:
+        if weights is not None:
+            linked_to[x] += weights[linked].sum()
+            linked_to[linked] += weights[x]
+        for y in linked[component[linked] != component[x]]:
             if component[y] != component[x]:
-                links.append((int(x), int(y)))
+                links.append((int(by_size[x]), int(by_size[y])))
                 component[component == component[y]] = component[x]
-    return links
+    numbers = np.empty(len(sets), np.int64)
+    numbers[by_size] = linked_to
+    return links, numbers
 
 
-def _links(percent: int):
+def _links(percent: int, count: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["group_id", "group_h", "low", "high"], [*KEY, "tokens", "block", "low", "high"]):
+        columns = [*KEY, "tokens", "block", "low", "high", "copies"]
+        for group in _groups(batches, ["group_id", "group_h", "low", "high"], columns):
+            # rows that repeat follow each other
+            group = [r for i, r in enumerate(group) if not i or r[:2] != group[i - 1][:2]]
             # pairs within a block are searched for where it is paired with itself
             sides = None if group[0][4] == group[0][5] else np.array([r[3] for r in group])
-            found = divide_skip([np.frombuffer(r[2], np.uint64) for r in group], percent, sides)
-            if found:
-                yield _edge_batch([(*group[a][:2], *group[b][:2]) for a, b in found])
+            copies = np.array([r[6] for r in group]) if count else None
+            found, numbers = divide_skip([np.frombuffer(r[2], np.uint64) for r in group], percent, sides, copies)
+            counted = np.flatnonzero(numbers).tolist()
+            if found or counted:
+                ends = [(*group[a][:2], *group[b][:2], 0) for a, b in found] + [(*group[i][:2], *group[i][:2], int(numbers[i])) for i in counted]
+                yield _batch(ends, [*_ENDS, "linked"])
 
     return rows
 
@@ -275,8 +337,8 @@ def _to_one(percent: int):
                 overlap = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("group_id", "group_h", *KEY, "tokens")), pa.array(linked, pa.bool_())],
-                names=["group_id", "group_h", *KEY, "tokens", "linked"],
+                [*(batch.column(c) for c in ("group_id", "group_h", *KEY, "copies", "tokens")), pa.array(linked, pa.bool_())],
+                names=["group_id", "group_h", *KEY, "copies", "tokens", "linked"],
             )
 
     return rows
@@ -285,7 +347,7 @@ def _to_one(percent: int):
 def _whole_sets(size: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        keep = ["group_id", "group_h", *KEY]
+        keep = ["group_id", "group_h", *KEY, "copies"]
         for batch in batches:
             tokens = [shingles(text, hashes, size).tobytes() for text in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(tokens, pa.binary())], names=[*keep, "tokens"])
@@ -293,9 +355,9 @@ def _whole_sets(size: int):
     return rows
 
 
-def _searched(sets: DataFrame, percent: int) -> DataFrame:
+def _searched(sets: DataFrame, percent: int, count: bool) -> DataFrame:
     keys = ["group_id", "group_h", "low", "high"]
-    return sets.repartition(*keys).sortWithinPartitions(*keys, *KEY).mapInArrow(released(_links(percent)), _EDGES)
+    return sets.repartition(*keys).sortWithinPartitions(*keys, *KEY).mapInArrow(released(_links(percent, count)), _LINKS)
 
 
 def _in_pairs(rows: DataFrame) -> DataFrame:
@@ -331,17 +393,21 @@ def _blocks_of(compared: DataFrame, shard: int, group_rows: int) -> DataFrame:
     counts = store(compared.groupBy(*group).agg(blocks("NOT linked").alias("firsts"), blocks("linked").alias("lasts")), "blocks")
     dealt = compared.join(counts.withColumn("blocks", F.col("firsts") + F.col("lasts")), group)
     block = F.when(F.col("linked"), F.col("firsts") + _block(F.col("lasts"))).otherwise(_block(F.col("firsts")))
-    return _in_pairs(dealt.withColumn("block", block)).select(*group, "block", "low", "high", *KEY, "tokens")
+    return _in_pairs(dealt.withColumn("block", block)).select(*group, "block", "low", "high", *KEY, "copies", "tokens")
 
 
-def _large_groups(sets: DataFrame, percent: int, shard: int, group_rows: int) -> DataFrame:
-    """Links in groups that are too large for a task."""
+def _large_groups(sets: DataFrame, percent: int, shard: int, group_rows: int, count: bool) -> DataFrame:
+    """Links in groups that are too large for a task; all their pairs are compared where links are counted."""
     group = ["group_id", "group_h"]
+    if count:
+        compared = store(sets.dropDuplicates([*group, *KEY]).withColumn("linked", F.lit(False)), "compared")
+        return _searched(_blocks_of(compared, shard, group_rows), percent, count)
     ones = sets.where("_id = group_id AND _h = group_h").select(*group, F.col("tokens").alias("one")).dropDuplicates(group)
-    schema = "group_id long, group_h long, _id long, _h long, tokens binary, linked boolean"
+    schema = "group_id long, group_h long, _id long, _h long, copies long, tokens binary, linked boolean"
     compared = store(sets.join(ones, group).mapInArrow(released(_to_one(percent)), schema).dropDuplicates([*group, *KEY]), "compared")
     star = compared.where("linked").select(F.col("group_id").alias("a_id"), F.col("group_h").alias("a_h"), F.col("_id").alias("b_id"), F.col("_h").alias("b_h"))
-    return star.unionByName(_searched(_blocks_of(compared, shard, group_rows), percent))
+    star = star.withColumn("linked", F.lit(0).cast("long"))
+    return star.unionByName(_searched(_blocks_of(compared, shard, group_rows), percent, count))
 
 
 def near_duplicates(
@@ -353,9 +419,12 @@ def near_duplicates(
     frequent: float = FREQUENT,
     group_rows: int = GROUP_ROWS,
     shard_shingles: int = SHARD_SHINGLES,
+    count_links: bool = True,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, the smallest id reachable by links.
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, the smallest id reachable by links, and ``n_links``.
 
+    ``n_links`` is the number of other rows that a row links with, its copies among them. Without ``count_links`` there is no such
+    column, and pairs that other links connect aren't compared, which spares the most in groups of many near copies.
     Words stand between ASCII white space and are compared after lower-casing A-Z. A text of fewer than ``size`` words has
     them all as one shingle; a NULL or blank one has none, links with nothing and is a component of its own, whatever repeats.
     Other columns of ``docs`` are not read. Rows that repeat are copies of each other. A NULL id stays NULL, and sorts
@@ -374,11 +443,11 @@ def near_duplicates(
     sets = store(texts.mapInArrow(released(_set_rows(size, percent, last)), schema), "sets")
     same = ["n", "sum", "fold"]
     # written, so that the join is one of two plain exchanges, of which Spark can split the one with many copies
-    classes = store(sets.groupBy(*same).agg(F.min(F.struct(*KEY)).alias("stands")), "stands")
-    members = sets.select(*KEY, *same).join(classes, same).select(*KEY, "n", "stands")
+    classes = store(sets.groupBy(*same).agg(F.min(F.struct(*KEY)).alias("stands"), F.count("*").alias("copies")), "stands")
+    members = sets.select(*KEY, *same).join(classes, same).select(*KEY, "n", "stands", "copies")
     members = store(members, "members")
-    stand = members.where((F.col("stands._id") == F.col("_id")) & (F.col("stands._h") == F.col("_h")) & (F.col("n") > 0)).select(*KEY).distinct()
-    ones = store(sets.join(stand, KEY).select(*KEY, "n", "prefix", "buckets").dropDuplicates(KEY), "classes")
+    stand = members.where((F.col("stands._id") == F.col("_id")) & (F.col("stands._h") == F.col("_h")) & (F.col("n") > 0)).select(*KEY, "copies").distinct()
+    ones = store(sets.join(stand, KEY).select(*KEY, "n", "copies", "prefix", "buckets").dropDuplicates(KEY), "classes")
 
     tokens = ones.select(F.explode("prefix").alias("token"), *KEY)
     shared = store(tokens.groupBy("token").count().where("count > 1"), "shared-shingles")
@@ -397,19 +466,28 @@ def near_duplicates(
 
     groups = nodes(near).select("node.*", F.col("component._id").alias("group_id"), F.col("component._h").alias("group_h"))
     # the candidates grow with the documents, so they are not to be broadcast, however few they are
-    whole = texts.join(groups.hint("merge"), KEY)
-    whole = store(whole.mapInArrow(released(_whole_sets(size)), "group_id long, group_h long, _id long, _h long, tokens binary"), "whole-sets")
+    whole = texts.join(groups.join(ones.select(*KEY, "copies"), KEY).hint("merge"), KEY)
+    schema = "group_id long, group_h long, _id long, _h long, copies long, tokens binary"
+    whole = store(whole.mapInArrow(released(_whole_sets(size)), schema), "whole-sets")
     group = ["group_id", "group_h"]
     weights = whole.groupBy(*group).agg((F.sum(F.octet_length("tokens")) / 8).alias("shingles"), F.count("*").alias("sets"))
     large = store(weights.where((F.col("shingles") > shard_shingles) | (F.col("sets") > group_rows)), "large-groups")
-    links = _searched(whole.join(large, group, "left_anti").withColumns({c: F.lit(0) for c in ("block", "low", "high")}), percent)
+    small = whole.join(large, group, "left_anti").withColumns({c: F.lit(0) for c in ("block", "low", "high")})
+    links = _searched(small, percent, count_links)
     if not large.isEmpty():
-        links = links.unionByName(_large_groups(whole.join(large.select(*group), group, "left_semi"), percent, shard_shingles, group_rows))
+        in_large = whole.join(large.select(*group), group, "left_semi")
+        links = links.unionByName(_large_groups(in_large, percent, shard_shingles, group_rows, count_links))
+    links = store(links, "found")
 
     found = nodes(links).select(F.col("node").alias("stands"), F.col("component._id").alias("component_id"))
+    if count_links:
+        linked = links.where("linked > 0").groupBy(F.struct(F.col("a_id").alias("_id"), F.col("a_h").alias("_h")).alias("stands"))
+        found = found.join(linked.agg(F.sum("linked").alias("linked")), "stands")
     component = F.when(F.col("n") == 0, F.col("_id")).otherwise(F.coalesce("component_id", "stands._id"))
+    n_links = F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
     return members.join(found, "stands", "left").select(
         F.nullif("_id", F.lit(NO_ID)).alias(id_column),
         F.col("n").alias("n_shingles"),
         F.nullif(component, F.lit(NO_ID)).alias("component_id"),
+        *([n_links.cast("long").alias("n_links")] if count_links else []),
     )

@@ -81,11 +81,13 @@ WITH RECURSIVE split AS (
 ), links AS (
     SELECT x, y FROM shared JOIN sizes AS a ON a.doc_id = x JOIN sizes AS b ON b.doc_id = y
     WHERE 100 * k >= 90 * (a.n + b.n - k)
+), numbers AS (
+    SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x
 ), reached AS (
     SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, y FROM reached JOIN links ON b = x
 )
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
-FROM documents JOIN reached ON a = doc_id LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id, coalesce(any_value(n_links), 0) AS n_links
+FROM documents JOIN reached ON a = doc_id LEFT JOIN sizes USING (doc_id) LEFT JOIN numbers USING (doc_id) GROUP BY doc_id
 """
 
 # CRC-32 of a list of bytes: each byte enters, then eight steps of one bit

@@ -14,7 +14,7 @@ from checks import compare
 DATA = "/root/testdata/sf0.001"
 COLUMNS = {
     "op1": "doc_id n_words n_removed kept_sha256",
-    "op2": "doc_id n_shingles component_id",
+    "op2": "doc_id n_shingles component_id n_links",
     "op3": "doc_id size text_crc32 law shard slot grown_shard",
     "op4": "doc_id held_out score predicted",
     "op5": "doc_id n_words n_hit n_items items_sha256 contaminated",

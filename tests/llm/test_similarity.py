@@ -31,6 +31,7 @@ def brute_components(rows, size, percent):
         n = min(size, len(ws))
         sets.append(frozenset(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)) if ws else frozenset())
     root = list(range(len(rows)))
+    links = [0] * len(rows)
 
     def find(i):
         while root[i] != i:
@@ -41,11 +42,13 @@ def brute_components(rows, size, percent):
         for j in range(i):
             if linked(sets[i], sets[j], percent):
                 root[find(i)] = find(j)
+                links[i] += 1
+                links[j] += 1
     smallest = {}
     for i, (doc_id, _) in enumerate(rows):
         key = (doc_id is not None, doc_id or 0)
         smallest[find(i)] = min(smallest.get(find(i), key), key)
-    return [(d, len(s), (lambda k: k[1] if k[0] else None)(smallest[find(i)])) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))]
+    return [(d, len(s), (lambda k: k[1] if k[0] else None)(smallest[find(i)]), links[i]) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))]
 
 
 def variants(n: int, seed: int, first_id: int, edits: int = 7) -> list[tuple]:
@@ -65,8 +68,11 @@ def variants(n: int, seed: int, first_id: int, edits: int = 7) -> list[tuple]:
 def test_components(docs_of, edge_rows, limits):
     rows = edge_rows + variants(120, 1, 1000) + variants(40, 2, 2000, 20)
     found = near_duplicates(docs_of(rows), **limits)
+    want = sorted(brute_components(rows, limits.get("size", 3), limits.get("percent", 90)), key=str)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in found.collect()), key=str) == want
+    found = near_duplicates(docs_of(rows), count_links=False, **limits)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str)
-    assert got == sorted(brute_components(rows, limits.get("size", 3), limits.get("percent", 90)), key=str)
+    assert got == sorted((w[:3] for w in want), key=str)
 
 
 def test_no_rows(docs_of, spark):
@@ -85,11 +91,15 @@ def test_divide_skip_finds_every_link():
             own[random_.integers(60, size=random_.integers(0, 9))] = random_.integers(500, 1000)
             sets.append(np.unique(own[: random_.integers(50, 61)]).astype(np.uint64))
         pairs = {(i, j) for i in range(12) for j in range(i) if linked(frozenset(sets[i]), frozenset(sets[j]), 90)}
-        found = divide_skip(sets, 90)
+        found, _ = divide_skip(sets, 90)
+        copies = random_.integers(1, 4, size=12)
+        connecting, numbers = divide_skip(sets, 90, copies=copies)
+        assert {frozenset(e) for e in connecting} <= {frozenset(e) for e in pairs}
+        assert numbers.tolist() == [sum(int(copies[a + b - i]) for a, b in pairs if i in (a, b)) for i in range(12)]
         assert all((max(a, b), min(a, b)) in pairs for a, b in found)
         # the links found connect what all links connect
         label = {i: i for i in range(12)}
-        for edges in (found, pairs):
+        for edges in (found, connecting, pairs):
             before = dict(label)
             for a, b in edges:
                 x, y = label[a], label[b]
@@ -100,14 +110,15 @@ def test_divide_skip_finds_every_link():
 
 def test_divide_skip_between_sides():
     sets = [np.arange(20, dtype=np.uint64) + np.uint64(k // 2) for k in range(4)]
-    assert {(min(x), max(x)) for x in divide_skip(sets, 90, np.array([0, 0, 1, 1]))} <= {(0, 2), (0, 3), (1, 2), (1, 3)}
-    assert divide_skip(sets, 90, np.zeros(4)) == []
+    assert {(min(x), max(x)) for x in divide_skip(sets, 90, np.array([0, 0, 1, 1]))[0]} <= {(0, 2), (0, 3), (1, 2), (1, 3)}
+    assert divide_skip(sets, 90, np.array([0, 0, 1, 1]), np.ones(4, int))[1].tolist() == [2, 2, 2, 2]
+    assert divide_skip(sets, 90, np.zeros(4))[0] == []
 
 
 def test_tasks_hold_two_blocks_of_large_groups(spark):
     """Sets that don't link to the one are dealt too, and each pair that is to be compared meets once."""
-    rows = [(0, 0, i, 0, bytes(80), i % 4 == 0) for i in range(400)]
-    compared = spark.createDataFrame(rows, "group_id long, group_h long, _id long, _h long, tokens binary, linked boolean")
+    rows = [(0, 0, i, 0, 1, bytes(80), i % 4 == 0) for i in range(400)]
+    compared = spark.createDataFrame(rows, "group_id long, group_h long, _id long, _h long, copies long, tokens binary, linked boolean")
     dealt: dict[tuple, list] = {}
     for r in _blocks_of(compared, 800, 10**6).collect():
         dealt.setdefault((r.low, r.high), []).append((r._id, r.block))
