@@ -54,7 +54,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id."""
-    found = near_duplicates(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
+    found = near_duplicates(docs, size=NEAR_WORDS, percent=NEAR_PERCENT, count_links=False)
     return _without(docs, found.where("NOT (component_id <=> doc_id)"))
 
 
