@@ -420,11 +420,13 @@ def near_duplicates(
     group_rows: int = GROUP_ROWS,
     shard_shingles: int = SHARD_SHINGLES,
     count_links: bool = True,
+    keys: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, the smallest id reachable by links, and ``n_links``.
 
     ``n_links`` is the number of other rows that a row links with, its copies among them. Without ``count_links`` there is no such
-    column, and pairs that other links connect aren't compared, which spares the most in groups of many near copies.
+    column, and pairs that other links connect aren't compared, which spares the most in groups of many near copies. With ``keys``, there
+    are the columns of ``keyed`` too, and ``stands``, whether the row, of rows with one id too, is the one of its component.
     Words stand between ASCII white space and are compared after lower-casing A-Z. A text of fewer than ``size`` words has
     them all as one shingle; a NULL or blank one has none, links with nothing and is a component of its own, whatever repeats.
     Other columns of ``docs`` are not read. Rows that repeat are copies of each other. A NULL id stays NULL, and sorts
@@ -479,15 +481,17 @@ def near_duplicates(
         links = links.unionByName(_large_groups(in_large, percent, shard_shingles, group_rows, count_links))
     links = store(links, "found")
 
-    found = nodes(links).select(F.col("node").alias("stands"), F.col("component._id").alias("component_id"))
+    found = nodes(links).withColumnRenamed("node", "stands")
     if count_links:
         linked = links.where("linked > 0").groupBy(F.struct(F.col("a_id").alias("_id"), F.col("a_h").alias("_h")).alias("stands"))
         found = found.join(linked.agg(F.sum("linked").alias("linked")), "stands")
-    component = F.when(F.col("n") == 0, F.col("_id")).otherwise(F.coalesce("component_id", "stands._id"))
+    own = F.struct(*KEY)
+    component = F.when(F.col("n") == 0, own).otherwise(F.coalesce("component", "stands"))
     n_links = F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
     return members.join(found, "stands", "left").select(
         F.nullif("_id", F.lit(NO_ID)).alias(id_column),
         F.col("n").alias("n_shingles"),
-        F.nullif(component, F.lit(NO_ID)).alias("component_id"),
+        F.nullif(component["_id"], F.lit(NO_ID)).alias("component_id"),
         *([n_links.cast("long").alias("n_links")] if count_links else []),
+        *([*KEY, (component == own).alias("stands")] if keys else []),
     )

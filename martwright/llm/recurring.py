@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.rolling import BYTE_HASHES, Rolling, WordHashes, blocks
@@ -69,11 +69,19 @@ class Bytes:
         return units[start:end]
 
 
+def _key(id_column: str, text: Column) -> dict[str, Column]:
+    return {"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)), "_h": F.xxhash64(text)}
+
+
 def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``_id, _h, text``: never NULL; equal rows have equal keys, other rows that share an id have not."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    identity = F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID))
-    return docs.select(identity.alias("_id"), F.xxhash64(text).alias("_h"), text.alias("text"))
+    return docs.select(*(c.alias(name) for name, c in _key(id_column, text).items()), text.alias("text"))
+
+
+def with_key(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with the key that ``keyed`` gives its rows."""
+    return docs.withColumns(_key(id_column, F.coalesce(F.col(text_column).cast("string"), F.lit(""))))
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

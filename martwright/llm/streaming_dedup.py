@@ -76,9 +76,11 @@ def read_state(spark: SparkSession, state_folder: str) -> DataFrame:
     )
 
 
-def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keys: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
+    With ``keys``, the columns of ``keyed`` too, and ``keep_h``, that of the row that stays.
+
     Texts are equal when identical after lower-casing A-Z only; of equal texts the row with the largest id stays. Rows
     that share that id too are told apart by their place, and one of them stays. A NULL text is the empty text; a
     NULL id counts as smaller than any other and stays NULL. Other columns of ``docs`` are not read. No rows give no
@@ -113,4 +115,5 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         size.alias("group_size"),
         ((F.col("_id") == F.col("keep_id")) & (F.col("row") == F.col("keep_row"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *([*KEY, "keep_h"] if keys else []),
     )

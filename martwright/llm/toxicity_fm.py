@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.recurring import NO_ID, keyed
+from martwright.llm.recurring import KEY, NO_ID, keyed
 from martwright.llm.storage import released, small_batches, store
 
 SPACE = 2**20
@@ -270,17 +270,17 @@ def _scores(model: Model):
         for batch in batches:
             margins = model.margins([terms_of.text(text) for text in batch.column("text").to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(margins, -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(scores)], names=["_id", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEY), pa.array(scores)], names=[*KEY, "score"])
 
     return rows
 
 
-def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id and ``score``, 0 to 1, higher where toxic is likelier.
+def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keys: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id and ``score``, 0 to 1, higher where toxic is likelier; with ``keys`` the columns of ``keyed`` too.
 
     The score depends on the text alone; other columns of ``docs`` are not read. NULL and empty texts, and texts with no term of
     the model, have the score of its bias. Rows that repeat have equal scores; a NULL id stays NULL. No rows give no rows.
     """
     small_batches(docs.sparkSession)
-    scores = keyed(docs, id_column, text_column).mapInArrow(released(_scores(model)), "_id long, score double")
-    return scores.withColumn("_id", F.nullif("_id", F.lit(NO_ID))).withColumnRenamed("_id", id_column)
+    scores = keyed(docs, id_column, text_column).mapInArrow(released(_scores(model)), "_id long, _h long, score double")
+    return scores.select(F.nullif("_id", F.lit(NO_ID)).alias(id_column), "score", *(KEY if keys else []))

@@ -106,9 +106,12 @@ def contamination(
     item_text_column: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
+    keys: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_words``, ``n_hit`` and ``items``, the sorted ids, as text, of items with an occurring window.
 
+    With ``keys``, the columns of ``keyed`` too.
+
     Words are compared after lower-casing A-Z. Other columns of either table are not read, whatever their names. NULL and blank
     texts have no words: such documents are clean and such items match nothing. Items that repeat count once per id; a NULL
     item id is the empty text. Rows that repeat get equal results; a NULL id stays NULL. No documents give no
@@ -178,5 +181,6 @@ def contamination(
             "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", no_items).alias("items"),
+            *(KEY if keys else []),
         )
     )

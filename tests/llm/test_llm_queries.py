@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import random
+import re
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -102,13 +105,90 @@ def test_no_documents_are_toxic_without_labels_to_learn_from(spark, labels, tmp_
     assert len(found) == 40 and {r.predicted for r in found} == {0}
 
 
-def test_pipeline_equals_its_stages_by_hand(spark):
-    """Each filter decided by a plain rule over the rows that the stage before kept."""
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(df) -> Counter:
+    return Counter((r.doc_id, r.text) for r in df.collect())
+
+
+def by_rule(stage: str, rows: Counter, items: list[str]) -> Counter:
+    """What a stage keeps of rows of (id, text), decided row by row in plain Python."""
+    first = {row: (row[0] is not None, row[0] or 0) for row in rows}
+
+    def words(text, pattern):
+        return re.findall(pattern, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+    if stage == "exact_dedup":
+        groups = {}
+        for row in rows:
+            groups.setdefault("".join(words(row[1], r"(?s).")), []).append(row)
+        return Counter([max(group, key=first.get) for group in groups.values()])
+    if stage == "near_dedup":
+        sets = {}
+        for row in rows:
+            own = words(row[1], r"[^ \t-\r]+")
+            n = min(5, len(own))
+            sets[row] = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if own else set()
+        kept, seen = Counter(), set()
+        for row in sorted(rows, key=first.get):
+            kept.update({row: rows[row]} if row not in seen else {})
+            queue = [row]
+            while queue:
+                a = sets[queue.pop()]
+                near = [r for r in rows if r not in seen and a and 100 * len(a & sets[r]) >= 80 * len(a | sets[r])]
+                seen.update(near)
+                queue += near
+        return kept
+    pattern = "[^\x00-/:-`{-\x7f]+"
+    windows = set()
+    for own in (words(item, pattern) for item in items):
+        n = min(10, len(own))
+        windows |= {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if own else set()
+    sizes = {len(w) for w in windows}
+    return Counter({row: n for row, n in rows.items() if not any(tuple(own[i : i + k]) in windows for own in [words(row[1], pattern)] for k in sizes for i in range(len(own) - k + 1))})
+
+
+@pytest.mark.parametrize("stage", ["exact_dedup", "near_dedup", "decontamination"])
+def test_stages_decide_row_by_row(spark, stage):
+    """Rows without an id and rows that share one are judged by their own text."""
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").first().text
+    text = [f"w{i}" for i in range(80)]
+    near, other = " ".join([*text, "end"]), " ".join(reversed(text))
+    rows = [(None, item), (None, "clean without id"), (8, item), (8, "clean with a dirty id"), (9, " ".join(text)), (9, near), (None, other), (None, other + " x"), (3, other + " y")]
+    if stage == "exact_dedup":
+        rows += [(None, "CLEAN without id"), (None, "clean without id"), (3, "clean WITH a dirty id"), (9, near), (4, ""), (5, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCUMENTS).repartition(3)
+    kept = rows_of(dict(corpus_pipeline.STAGES)[stage](spark, docs, DATA))
+    items = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    want = by_rule(stage, Counter(rows), items)
+    if stage == "exact_dedup":  # of rows without an id, any
+        kept, want = (Counter((i, (t or "").lower()) for i, t in c.elements()) for c in (kept, want))
+    elif stage == "near_dedup":  # of rows with one id, either
+        kept, want = (Counter(i for i, _ in c.elements()) for c in (kept, want))
+    assert kept == want and kept != Counter(rows)
+
+
+def test_toxic_rows_go_and_no_others(spark, tmp_path):
+    random_ = random.Random(5)
+    plain = [f"p{i}" for i in range(60)]
+    texts = [" ".join(random_.choices(plain, k=20)) for _ in range(400)]
+    rows = [(i, f"{t} vile scum {t}" if i % 4 == 0 else t) for i, t in enumerate(texts)]
+    rows += [(None, "p1 vile scum p2"), (None, "p3 p4 p5"), (1, "p6 vile scum p7"), (1, "p8 p9")]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(400)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCUMENTS)
+    kept = rows_of(dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, str(tmp_path)))
+    assert kept == Counter(r for r in rows if "vile" not in r[1])
+
+
+def test_pipeline_equals_plain_rules(spark):
+    """Each filter after the model's is decided by a plain rule over the rows that the stage before kept."""
     packed = corpus_pipeline.run(spark, DATA)
-    left = spark.read.parquet(f"{DATA}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        before = {r.doc_id for r in left.select("doc_id").collect()}
-        left = stage(spark, left, DATA)
-        after = {r.doc_id for r in left.select("doc_id").collect()}
-        assert after <= before and after
-    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == after
+    items = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    stages = dict(corpus_pipeline.STAGES)
+    rows = rows_of(stages["toxicity"](spark, spark.read.parquet(f"{DATA}/documents.parquet"), DATA))
+    for stage in list(stages)[1:-1]:
+        rows = by_rule(stage, rows, items)
+        assert rows
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {i for i, _ in rows}
