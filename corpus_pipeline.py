@@ -1,9 +1,8 @@
 """A corpus pipeline of the training-data operators: each stage reads what the one before it kept.
 
 Stages take and return the columns of ``documents``, but for the last, which returns packed pieces.
-``doc_id`` names a document: what is decided of one row holds for all rows with its id. A document without an id can't
-be looked up and passes the filters (repeated rows aside). NULL texts are empty texts; no rows give no rows. Without labels
-to learn from (none, NULL or held out ones only, those of other documents, or of one class), the first stage keeps all documents.
+What is decided of a row holds for it alone, and for rows equal to it in ``doc_id`` and text: rows that share an id, or have none, are told apart
+by the hash of their text. NULL texts are empty texts; no rows give no rows. Without labels to learn from (none, NULL or held out ones only, those of other documents, or of one class), the first stage keeps all documents.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm.bin_slack import pack_documents
 from martwright.llm.divide_skip import near_duplicates
+from martwright.llm.recurring import KEY, NO_ID, with_key
 from martwright.llm.storage import new_folder, store
 from martwright.llm.streaming_dedup import exact_duplicates
 from martwright.llm.toxicity_fm import toxic, toxicity, train
@@ -28,39 +28,43 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` less the ids of ``rejected``.
+    """``docs`` less the rows whose keys are in ``rejected``.
 
-    The ids are written first, so that Spark knows their size when it chooses how to join.
+    The keys are written first, so that Spark knows their size when it chooses how to join.
     """
-    ids = store(rejected.select("doc_id").where("doc_id IS NOT NULL").distinct(), "rejected")
-    return docs.join(ids, "doc_id", "left_anti").select(*COLUMNS)
+    keys = store(rejected.select(*KEY).distinct(), "rejected")
+    return with_key(docs.select(*COLUMNS)).join(keys, KEY, "left_anti").select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half; the model learns from the labels of these documents."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity(docs, model).where(toxic()))
+    return _without(docs, toxicity(docs, model, keys=True).where(toxic()))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id. Of rows that repeat, id and text, one stays."""
-    kept = _without(docs, exact_duplicates(docs).where("NOT kept AND NOT (doc_id <=> keep_id)"))
-    repeated = store(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    found = store(exact_duplicates(docs, keys=True).select(*KEY, "kept", "keep_id", "keep_h"), "exact-copies")
+    same = F.col("keep_id").eqNullSafe(F.nullif("_id", F.lit(NO_ID))) & (F.col("keep_h") == F.col("_h"))
+    kept = _without(docs, found.where(~same))
+    # rows that repeat one that stays
+    repeated = store(found.where(same & ~F.col("kept")).select(*KEY).distinct(), "repeated")
     if repeated.isEmpty():
         return kept
-    same = kept["doc_id"].eqNullSafe(repeated["doc_id"])
-    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    kept = with_key(kept)
+    once = kept.join(repeated, KEY, "left_semi").dropDuplicates(KEY)
+    return kept.join(repeated, KEY, "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    found = near_duplicates(docs, size=NEAR_WORDS, percent=NEAR_PERCENT, count_links=False)
-    return _without(docs, found.where("NOT (component_id <=> doc_id)"))
+    """Of each group of linked documents the one with the smallest id; one without an id comes first."""
+    found = near_duplicates(docs, size=NEAR_WORDS, percent=NEAR_PERCENT, count_links=False, keys=True)
+    return _without(docs, found.where("NOT stands"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keys=True)
     return _without(docs, found.where("n_hit > 0"))
 
 
