@@ -4,7 +4,8 @@ The bytes that can recur are cut out by leaders (see ``recurring``); all places
 a leader, so the blocks of some leaders are a text of their own. For that text the suffixes are sorted,
 up to ``window`` bytes, by prefix tripling: ranks of 8 bytes give ranks of 24, of 72 and so on.
 In suffix order, the nearest suffixes on both sides that start earlier in the text give
-the longest previous factor of each position; where it reaches ``window`` bytes, the string has occurred before.
+the longest previous factor of each position: the longer of the prefixes that it has in common with those two, up to ``window``
+bytes. Prefixes of neighbours are measured down the same ranks, and the least on the way holds for two further apart. Where its length is ``window``, the string has occurred before.
 The nearest ones that start later tell, in the same way, whether it occurs again.
 """
 
@@ -25,6 +26,8 @@ GRAM = 32
 TEXT_BYTES = 300_000
 _FIRST = 8
 _RANK_BITS = 21
+# Least values of 1, 2, ... 8 bytes.
+_BYTE_STEPS = np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
@@ -37,41 +40,88 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def _nearest_smaller(values: np.ndarray) -> np.ndarray:
-    """For each place, the nearest one before it with a smaller value, or -1."""
+def _nearest_smaller(values: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, the nearest one before it with a smaller value, or -1, and the least of ``common`` on the way, or 0.
+
+    ``common`` is what a place has in common with the one before it.
+    """
     near = np.arange(len(values)) - 1
+    least = common.copy()
     open_ = np.flatnonzero(near >= 0)
     while len(open_):
         open_ = open_[values[near[open_]] > values[open_]]
         # all values between are larger than the one passed, hence larger than this one
-        near[open_] = near[near[open_]]
+        passed = near[open_]
+        least[open_] = np.minimum(least[open_], least[passed])
+        near[open_] = near[passed]
         open_ = open_[near[open_] >= 0]
-    return near
+    least[near < 0] = 0
+    return near, least
 
 
-def window_ranks(text: np.ndarray, room: np.ndarray, window: int) -> np.ndarray:
-    """Ranks of the ``window`` bytes at each place that has them; ``room``: bytes from a place to the end of its block.
+class Ranks:
+    """Ranks of the 8, 24, 72 ... and ``window`` bytes at each place of a text, by prefix tripling.
 
-    ``-1`` where a block ends sooner. Needs a window of 24 bytes at least.
+    ``room``: bytes from a place to the end of its block. A rank is ``-1`` where a block ends sooner. Needs a window of 24 bytes
+    at least.
     """
-    length = _FIRST
-    padded = np.concatenate((text, np.zeros(_FIRST - 1, np.uint8)))
-    keys = np.lib.stride_tricks.sliding_window_view(padded, _FIRST).copy().view(">u8").ravel().astype(np.uint64)
-    exact = len(text) < 2**_RANK_BITS
-    ranks = np.full(len(text), -1, np.int64)
-    places = np.flatnonzero(room >= length)
-    ranks[places] = _ranks(keys[places])
-    while length < window:
-        longer = min(3 * length, window)
-        places = places[room[places] >= longer]
-        a, b, c = ranks[places], ranks[places + (longer - length) // 2], ranks[places + longer - length]
-        longer_ranks = np.full(len(text), -1, np.int64)
-        if exact:
-            longer_ranks[places] = _ranks((a << 2 * _RANK_BITS) | (b << _RANK_BITS) | c)
-        else:  # a group of very long blocks: two steps, each of two ranks
-            longer_ranks[places] = _ranks((_ranks((a << 31) | b) << 31) | c)
-        ranks, length = longer_ranks, longer
-    return ranks
+
+    def __init__(self, text: np.ndarray, room: np.ndarray, window: int):
+        self.room, self.window = room, window
+        length = _FIRST
+        padded = np.concatenate((text, np.zeros(_FIRST - 1, np.uint8)))
+        self.keys = np.lib.stride_tricks.sliding_window_view(padded, _FIRST).copy().view(">u8").ravel().astype(np.uint64)
+        exact = len(text) < 2**_RANK_BITS
+        ranks = np.full(len(text), -1, np.int64)
+        places = np.flatnonzero(room >= length)
+        ranks[places] = _ranks(self.keys[places])
+        self.levels = [(length, ranks.astype(np.int32))]
+        while length < window:
+            longer = min(3 * length, window)
+            places = places[room[places] >= longer]
+            a, b, c = ranks[places], ranks[places + (longer - length) // 2], ranks[places + longer - length]
+            ranks = np.full(len(text), -1, np.int64)
+            if exact:
+                ranks[places] = _ranks((a << 2 * _RANK_BITS) | (b << _RANK_BITS) | c)
+            else:  # a group of very long blocks: two steps, each of two ranks
+                ranks[places] = _ranks((_ranks((a << 31) | b) << 31) | c)
+            length = longer
+            self.levels.append((length, ranks.astype(np.int32)))
+
+    def of_windows(self) -> np.ndarray:
+        return self.levels[-1][1]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the prefix that the places ``a`` and ``b`` have in common, within their blocks and up to ``window``."""
+        found = np.zeros(len(a), np.int64)
+        # the whole window first; below, what is left is less than three times as long as a level
+        (_, whole), *shorter = reversed(self.levels)
+        left = np.flatnonzero(whole[a] != whole[b])
+        found[whole[a] == whole[b]] = self.window
+        for length, ranks in shorter:
+            going = left
+            for _ in range(2):
+                x, y = a[going] + found[going], b[going] + found[going]
+                # a block may end here, so that its next place is no longer its own
+                room = np.minimum(self.room[a[going]], self.room[b[going]]) - found[going]
+                going = going[room >= length][ranks[x[room >= length]] == ranks[y[room >= length]]]
+                found[going] += length
+        room = np.minimum(self.room[a[left]], self.room[b[left]]) - found[left]
+        left, room = left[room > 0], room[room > 0]
+        differ = self.keys[a[left] + found[left]] ^ self.keys[b[left] + found[left]]
+        equal = _FIRST - np.searchsorted(_BYTE_STEPS, differ, "right")
+        found[left] += np.minimum(equal, room)
+        return found
+
+
+def previous_factors(order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Longest previous factors of the places in ``order``, sorted by their suffixes, which have prefixes of length ``common`` with the place before.
+
+    Previous are smaller values of ``order``; with negative places, the factor of each is the longest that starts later.
+    """
+    _, before = _nearest_smaller(order, common)
+    _, after = _nearest_smaller(order[::-1], np.concatenate(([0], common[:0:-1]))[: len(order)])
+    return np.maximum(before, after[::-1])
 
 
 class _Locate:
@@ -100,18 +150,14 @@ class _Locate:
 
     def _previous(self, text: np.ndarray, room: np.ndarray) -> np.ndarray:
         """Where the window at a place has an earlier match; without ``keep_first`` also a later one."""
-        ranks = window_ranks(text, room, self.window)
+        ranks = Ranks(text, room, self.window)
         starts = np.flatnonzero(room >= self.window)
-        order = starts[np.lexsort((starts, ranks[starts]))]
+        order = starts[np.lexsort((starts, ranks.of_windows()[starts]))]
+        common = np.zeros(len(order), np.int64)
+        common[1:] = ranks.common(order[1:], order[:-1])
         matched = np.zeros(len(text), bool)
-        for values in (order, -order)[: 1 if self.keep_first else 2]:
-            before = _nearest_smaller(values)
-            after = len(order) - 1 - _nearest_smaller(values[::-1])[::-1]
-            for near in (before, after):
-                has = np.flatnonzero((near >= 0) & (near < len(order)))
-                # the common prefix reaches the window where the ranks of the windows are equal
-                equal = ranks[order[has]] == ranks[order[near[has]]]
-                matched[order[has[equal]]] = True
+        for places in (order, -order)[: 1 if self.keep_first else 2]:
+            matched[order[previous_factors(places, common) == self.window]] = True
         return matched
 
 

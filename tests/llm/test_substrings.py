@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from martwright.llm.longest_previous_factor import _Locate, _nearest_smaller, remove_repeated_bytes, window_ranks
+from martwright.llm.longest_previous_factor import Ranks, _Locate, _nearest_smaller, previous_factors, remove_repeated_bytes
 from martwright.llm.phrase_automata import remove_repeated_phrases
 from martwright.llm.rolling import blocks
 
@@ -76,9 +76,11 @@ def test_blocks_cover_all_windows_once(values):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 9), max_size=60))
 def test_nearest_smaller(values):
-    near = _nearest_smaller(np.array(values, np.int64))
+    common = np.arange(len(values)) % 7 + 1
+    near, least = _nearest_smaller(np.array(values, np.int64), common)
     for i, v in enumerate(values):
         assert near[i] == next((j for j in range(i - 1, -1, -1) if values[j] <= v), -1)
+        assert least[i] == (min(common[near[i] + 1 : i + 1]) if near[i] >= 0 else 0)
 
 
 @settings(max_examples=40, deadline=None)
@@ -87,13 +89,41 @@ def test_window_ranks_order_as_the_windows_do(texts):
     text = np.frombuffer(b"".join(texts), np.uint8)
     sizes = [len(t) for t in texts]
     room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(text))
-    ranks = window_ranks(text, room, 26)
+    ranks = Ranks(text, room, 26).of_windows()
     windows = {i: text[i : i + 26].tobytes() for i in np.flatnonzero(room >= 26)}
     places = list(windows)
     assert np.array_equal(np.unique([windows[i] for i in places], return_inverse=True)[1], ranks[places])
     assert (ranks[room < 26] == -1).all()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(min_size=30, max_size=120).map(lambda b: bytes(x % 2 for x in b)), min_size=1, max_size=5), st.sampled_from([24, 30, 80]))
+def test_longest_previous_factors(texts, window):
+    texts = [t for t in [*texts, texts[0][3:] + b"x" * 30, bytes(90)] if len(t) >= window]
+    text = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    room = np.repeat(ends, [len(t) for t in texts]) - np.arange(len(text))
+    ranks = Ranks(text, room, window)
+    starts = np.flatnonzero(room >= window)
+    order = starts[np.lexsort((starts, ranks.of_windows()[starts]))]
+    between = np.concatenate(([0], ranks.common(order[1:], order[:-1]))) if len(order) else order
+    own = {i: text[i : i + min(window, room[i])].tobytes() for i in starts}
+
+    def common(a, b):
+        return next((k for k in range(window) if own[a][k] != own[b][k]), window)
+
+    for places, others in ((order, np.less), (-order, np.greater)):
+        found = dict(zip(order.tolist(), previous_factors(places, between).tolist(), strict=True))
+        assert found == {i: max((common(i, j) for j in starts[others(starts, i)]), default=0) for i in starts.tolist()}
+
+
+def test_common_prefixes_end_with_their_blocks():
+    text = np.frombuffer(b"ab" * 50, np.uint8)
+    room = np.concatenate((np.arange(41, 0, -1), np.arange(59, 0, -1)))
+    found = Ranks(text, room, 30).common(np.array([0, 0, 38, 39]), np.array([2, 1, 42, 43]))
+    assert found.tolist() == [30, 0, 3, 2]
+
+
 def test_locate_marks_both_copies():
     block = bytes(range(200)) + bytes(range(50))
     assert _Locate(200, False)([1, 1], [block, b"xx" + block]) == [[(0, 250)], [(2, 252)]]
