@@ -66,6 +66,34 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, len(words) - coalesce(n, 0
 FROM split LEFT JOIN kept USING (doc_id)
 """
 
+# a byte is two hexadecimal digits; runs of removed bytes are told apart by a gap to the start before
+_REPEATED_BYTES = """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), starts AS (
+    SELECT doc_id, digits, unnest(range(0, length(digits) // 2 - 199)) AS i FROM texts WHERE length(digits) >= 400
+), windows AS (
+    SELECT doc_id, i, substr(digits, 2 * i + 1, 400) AS w FROM starts
+), often AS (
+    SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+), gone AS (
+    SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 200, true) AS opens FROM windows SEMI JOIN often USING (w)
+), numbered AS (
+    SELECT doc_id, i, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM gone
+), runs AS (
+    SELECT doc_id, min(i) AS first, max(i) + 200 AS last FROM numbered GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, first, last, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS open FROM runs
+), kept AS (
+    SELECT doc_id, count(*) AS n_spans, CAST(sum(last - first) AS BIGINT) AS n_removed, max(last) AS tail,
+        string_agg(substr(digits, 2 * open + 1, 2 * (first - open)), '' ORDER BY first) AS before
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(before, '') || substr(digits, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
 _NEAR = f"""
 WITH RECURSIVE split AS (
     SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents
@@ -180,6 +208,7 @@ ORACLES = {
     "op2_divide_skip": _NEAR,
     "op5_winnowing": _CONTAMINATION,
     "op6_streaming_dedup": _EXACT,
+    "op10_longest_previous_factor": _REPEATED_BYTES,
     "op12_prefix_suffix_tiles": _SPELLING,
     "op13_sequence_collapse": _TRIE,
 }
