@@ -39,7 +39,7 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half; the model learns from the labels of these documents."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity(docs, model, keys=True).where(toxic()))
+    return toxicity(docs.select(*COLUMNS), model, whole_rows=True).where(~toxic()).select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

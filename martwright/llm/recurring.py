@@ -73,10 +73,10 @@ def _key(id_column: str, text: Column) -> dict[str, Column]:
     return {"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)), "_h": F.xxhash64(text)}
 
 
-def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``_id, _h, text``: never NULL; equal rows have equal keys, other rows that share an id have not."""
+def keyed(docs: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
+    """``_id, _h, text``: never NULL; equal rows have equal keys, other rows that share an id have not. ``more`` columns may follow."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    return docs.select(*(c.alias(name) for name, c in _key(id_column, text).items()), text.alias("text"))
+    return docs.select(*(c.alias(name) for name, c in _key(id_column, text).items()), text.alias("text"), *more)
 
 
 def with_key(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martwright.llm.recurring import KEY, NO_ID, keyed
 from martwright.llm.storage import released, small_batches, store
@@ -264,23 +265,30 @@ def toxic(score: str = "score") -> Column:
     return F.col(score) >= 0.5
 
 
-def _scores(model: Model):
+def _scores(model: Model, kept: list[str]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms_of = _TermsOf(model.terms)
         for batch in batches:
             margins = model.margins([terms_of.text(text) for text in batch.column("text").to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(margins, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KEY), pa.array(scores)], names=[*KEY, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(scores, pa.float64())], names=[*kept, "score"])
 
     return rows
 
 
-def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keys: bool = False) -> DataFrame:
+def toxicity(
+    docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keys: bool = False, whole_rows: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: id and ``score``, 0 to 1, higher where toxic is likelier; with ``keys`` the columns of ``keyed`` too.
 
+    With ``whole_rows``, a struct ``row`` holds the columns of ``docs`` as they are, so that rows can be chosen by score without a join.
+
     The score depends on the text alone; other columns of ``docs`` are not read. NULL and empty texts, and texts with no term of
     the model, have the score of its bias. Rows that repeat have equal scores; a NULL id stays NULL. No rows give no rows.
     """
     small_batches(docs.sparkSession)
-    scores = keyed(docs, id_column, text_column).mapInArrow(released(_scores(model)), "_id long, _h long, score double")
-    return scores.select(F.nullif("_id", F.lit(NO_ID)).alias(id_column), "score", *(KEY if keys else []))
+    kept = [*KEY, *(["row"] if whole_rows else [])]
+    texts = keyed(docs, id_column, text_column, *([F.struct("*").alias("row")] if whole_rows else []))
+    schema = StructType([texts.schema[k] for k in kept]).add("score", "double")
+    scores = texts.mapInArrow(released(_scores(model, kept)), schema)
+    return scores.select(F.nullif("_id", F.lit(NO_ID)).alias(id_column), "score", *(KEY if keys else []), *kept[len(KEY) :])

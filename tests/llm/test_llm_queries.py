@@ -182,6 +182,18 @@ def test_toxic_rows_go_and_no_others(spark, tmp_path):
     assert kept == Counter(r for r in rows if "vile" not in r[1])
 
 
+def test_rows_are_chosen_by_toxicity_without_a_shuffle(spark, tmp_path, plan_of):
+    rows = [(i, f"p{i % 7} p{i % 11}" + " vile scum" * (i % 4 == 0)) for i in range(300)] + [(5000, None), (5000, None), (1, "p2 vile scum"), (None, "p3")]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(*r, "en", None, 1) for r in rows], DOCUMENTS)
+    found = dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, str(tmp_path))
+    assert found.dtypes == docs.dtypes
+    assert rows_of(found) == Counter(r for r in rows if "vile" not in (r[1] or ""))
+    assert {(r.lang, r.source, r.n_chars) for r in found.collect()} == {("en", None, 1)}
+    assert not re.search("Join|Exchange", plan_of(found))
+
+
 def test_pipeline_equals_plain_rules(spark):
     """Each filter after the model's is decided by a plain rule over the rows that the stage before kept."""
     packed = corpus_pipeline.run(spark, DATA)

@@ -13,7 +13,7 @@ import pytest
 from martwright.llm.components import components
 from martwright.llm.divide_skip import _blocks_of, _crowded_groups, _frequent_rows, divide_skip, near_duplicates
 from martwright.llm.streaming_dedup import exact_duplicates, extend_state, read_state
-from martwright.llm.storage import new_folder
+from martwright.llm.storage import new_folder, store
 from martwright.llm.winnowing import contamination
 
 A_Z = {c: c + 32 for c in range(65, 91)}
@@ -147,6 +147,38 @@ def test_components_of_chains_and_stars(spark):
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 150), 100), 400: 400, 500: 400}
 
 
+def test_rounds_of_components_shrink(spark, monkeypatch):
+    """Paths, a star, a clique and random links against union-find; all rounds together hold a few times the rows of the links."""
+    random_ = random.Random(11)
+    ids = random_.sample(range(10**6), 3000)
+    edges = [*zip(ids[:1000], ids[1:1000])] + [(2 * 10**6 + i, 2 * 10**6 + i + 1) for i in range(1000)]
+    edges += [(ids[1500], x) for x in ids[1501:2500]] + [(a, b) for a in ids[2500:2540] for b in ids[2500:2540]]
+    edges += [tuple(random_.choices(ids[2540:], k=2)) for _ in range(400)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    written = []
+
+    def counted(df, name):
+        out = store(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr("martwright.llm.components.store", counted)
+    rows = [((0, a), (0, b)) for a, b in edges] + [(None, (0, 1))]
+    links = spark.createDataFrame(rows, "a struct<x: int, y: long>, b struct<x: int, y: long>")
+    found = {r.node.y: r.component.y for r in components(links, "a", "b").collect()}
+    assert found == {x: find(x) for x in {x for a, b in edges if a != b for x in (a, b)}}
+    assert sum(written) <= 6 * len(edges)
+
+
 def test_exact_duplicates(docs_of, edge_rows):
     rows = edge_rows + [(60, "É"), (61, "é"), (62, "X É"), (63, "x É")]
     texts = [(text or "").translate(A_Z) for _, text in rows]
